@@ -227,6 +227,29 @@ SELECT 'Project ' || CAST(o_custkey % 6 AS STRING) AS Place, substr(CAST(CAST(CA
 FROM {orders} GROUP BY o_custkey % 6, o_orderkey % 6, 
  substr(CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR AS DATE) AS STRING), 3, 2) || substr(CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR AS DATE) AS STRING), 6, 2)"""
 
+VIEWS["fx_metric_rows"] = """
+SELECT 'Project ' || CAST(c % 6 AS STRING) AS project, metric_id, month, 'Metric ' || metric_id AS metric_name,
+ CASE WHEN MIN(k) % 31 = 0 THEN NULL ELSE CAST(COUNT(DISTINCT c) + SUM(k % 7) AS DOUBLE) END AS numerator
+FROM (SELECT o_custkey AS c, o_orderkey AS k, CAST(date_trunc('month', CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR) AS DATE) AS month,
+ CASE o_orderkey % 24 WHEN 0 THEN '1a' WHEN 1 THEN '1c' WHEN 2 THEN '2' WHEN 3 THEN '3a' WHEN 4 THEN '3b' WHEN 5 THEN '3c' WHEN 6 THEN '3d'
+  WHEN 7 THEN '4' WHEN 8 THEN '4b' WHEN 9 THEN '5a' WHEN 10 THEN '5b' WHEN 11 THEN '5d' WHEN 12 THEN '5e' WHEN 13 THEN '6a' WHEN 14 THEN '6b'
+  WHEN 15 THEN '6c' WHEN 16 THEN '6d' WHEN 17 THEN '6e' WHEN 18 THEN '7' WHEN 19 THEN '8a' WHEN 20 THEN '8b' WHEN 21 THEN '10'
+  WHEN 22 THEN '11' ELSE '14a' END AS metric_id
+FROM {orders}) t GROUP BY c % 6, metric_id, month"""
+
+VIEWS["fx_adjustments"] = """
+SELECT 'Project ' || CAST(o_custkey % 6 AS STRING) AS project, CAST(CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR AS DATE) AS month,
+ CASE o_orderkey % 3 WHEN 0 THEN '1a' WHEN 1 THEN '2' ELSE '5a' END AS metric_id, CAST(MAX(o_orderkey) AS DOUBLE) AS numerator,
+ CASE WHEN MAX(o_orderkey) % 4 = 0 THEN 'FALSE' ELSE 'TRUE' END AS active,
+ CASE WHEN MAX(o_orderkey) % 5 = 0 THEN '2023-01-01' END AS date_removed
+FROM {orders} WHERE EXTRACT(DAY FROM o_orderdate) = 1 GROUP BY 1, 2, 3"""
+
+VIEWS["fx_files"] = """
+SELECT page_id, CASE page_id % 11 WHEN 0 THEN 'Working.xlsx' WHEN 1 THEN '~' || code || '/' || code || '_Mar_2022.xlsx'
+  WHEN 2 THEN 'archive/' || code || '_Mar_2022.xlsx' WHEN 3 THEN code || '.xlsx'
+  ELSE 'Place ' || code || '/' || code || '_' || substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(1 + 3 * (page_id % 12) AS INT), 3) || '_' || CAST(2017 + page_id % 8 AS STRING) || '.xlsx' END AS folder_file
+FROM (SELECT page_id, CASE WHEN url LIKE '%/en/%' THEN 'ORG0' || CAST(page_id % 6 AS STRING) ELSE 'XX9' END AS code FROM {pages}) t"""
+
 GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
          "embeddings", "pages", "benchmark", "labels", "conversations"]
 
