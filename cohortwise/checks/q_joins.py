@@ -20,7 +20,7 @@ def enrich_lookups(spark, path):
     return views.cohort(spark, path).demographics.select("ParticipantID", "lsoa_name", "imd_decile", "rurality_code", "ethnic_group")
 
 
-@query("demographic_enrich", "SELECT ParticipantID, ccg_code, sex, age_band, imd_decile, project FROM b_smoking")
+@query("demographic_enrich", "SELECT ParticipantID, ccg_code, sex_c AS sex, age_band, imd_decile, project FROM b_smoking")
 def demographic_enrich(spark, path):
     return views.cohort(spark, path).smoking.select("ParticipantID", "ccg_code", "sex", "age_band", "imd_decile", "project")
 

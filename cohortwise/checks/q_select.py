@@ -165,7 +165,7 @@ def _demographics(name, sql, *cols):
         return views.cohort(spark, path).demographics.select("ParticipantID", *cols)
 
 
-_demographics("recode_sex", "sex", "sex")
+_demographics("recode_sex", "sex_c AS sex", "sex")
 _demographics("clean_age", "age_n AS age, age_validity", "age", "age_validity")
 _demographics("age_bands", "age_band, age_band_five, age_band_eval", "age_band", "age_band_five", "age_band_eval")
 _demographics("rurality_category", "rurality_code, rurality", "rurality_code", "rurality")

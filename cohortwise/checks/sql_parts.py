@@ -69,7 +69,7 @@ BAND = [(-1, "Age below zero"), (49, "0-49"), (59, "50-59"), (69, "60-69"), (79,
 BAND5 = [(-1, "Age below zero"), (49, "0-49"), (54, "50-54"), (59, "55-59"), (64, "60-64"), (69, "65-69"), (74, "70-74"), (79, "75-79")]
 BANDE = [(-1, "Age below zero"), (54, "Other"), (64, "55-64"), (74, "65-74"), (75, "75")]
 
-PARTS["cl_demographics"] = f"""SELECT d.*, a.LSOA_NAME AS lsoa_name, a.Decile AS imd_decile, a.RUC11CD AS rurality_code, {SEX} AS sex,
+PARTS["cl_demographics"] = f"""SELECT d.*, a.LSOA_NAME AS lsoa_name, a.Decile AS imd_decile, a.RUC11CD AS rurality_code, {SEX} AS sex_c,
   {AGE} AS age_n, CASE WHEN {AGE} BETWEEN 55 AND 74 THEN 'Valid' ELSE 'Invalid' END AS age_validity,
   {bands(AGE, BAND, '80+')} AS age_band, {bands(AGE, BAND5, '80+')} AS age_band_five, {bands(AGE, BANDE, 'Other')} AS age_band_eval,
   CASE WHEN Marital_Status IN ('Single','Married or civil partner','Divorced','Separated','Widow(er)','Prefer not to say','Not known') THEN Marital_Status ELSE 'Not known' END AS marital,
@@ -137,7 +137,7 @@ PARTS["cl_smoking"] = f"""SELECT *, {mon('offered_d')} AS offered_m, {mon('start
 FROM (SELECT *, {dt('Date_Offered_Smoking_Cessation')} AS offered_d, {dt('Date_Started_Smoking_Cessation')} AS started_d,
   {dt('Date_Ended_Smoking_Cessation')} AS ended_d, upper(trim(Smoking_Cessation_Completed_Successfully)) AS flag FROM cur_smoking)"""
 
-PERSON = "age_validity, age_band, age_band_five, age_band_eval, sex, ethnic_group, imd_decile, rurality"
+PERSON = "age_validity, age_band, age_band_five, age_band_eval, sex_c, ethnic_group, imd_decile, rurality"
 PARTS["b_people"] = f"SELECT ParticipantID AS pid, CCG_Code AS ccg_code, {PERSON} FROM cl_demographics"
 PARTS["n_org"] = "SELECT DISTINCT org_code, project_name_place FROM fx_project_names"
 PARTS["n_area"] = "SELECT DISTINCT CCG_Code AS ccg, project_name_ccg FROM fx_project_names WHERE split_by_ccg = 1"
