@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortwise.plans.cohort import Cohort
 from cohortwise.plans import diagnoses
 from cohortwise.sources import io
-from cohortwise.sources.fixtures import Source
+from cohortwise.sources.fixtures import Source, Views
 
 # The submitter of whom only the newest transaction counts, and transactions never counted.
 LATEST_ONLY_ORG = "ORG04"
@@ -15,13 +17,15 @@ BAD_TRANSACTIONS = [250, 251]
 SITES = [("C34", "Lung"), ("C34.1", "Lung"), ("C50", "Breast"), ("C61", "Urological"), ("C76", "Other")]
 
 
-def cohort(spark: SparkSession, path: str, staged: bool = False) -> Cohort:
+RAW = ["demographics", "invite", "check", "measurement", "scan", "diagnostics", "history", "smoking", "registry", "rapid", "pathway"]
+LOOKUPS = ["areas", "ethnicity", "project_names", "projects", "excluded_transactions", "excluded_people"]
+
+
+def cohort(spark: SparkSession, path: str, staged: bool | Collection[str] = False) -> Cohort:
+    """The cohort of a directory; ``staged`` names the frames to write out, or True for all."""
     src = Source(spark, path)
-    raw = {n: src.fx(f"fx_{n}") for n in ["demographics", "invite", "check", "measurement", "scan", "diagnostics",
-                                          "history", "smoking", "registry", "rapid", "pathway"]}
-    lookups = {n: src.fx(f"fx_{n}") for n in ["areas", "ethnicity", "project_names", "projects",
-                                              "excluded_transactions", "excluded_people"]}
-    return Cohort(raw, lookups, LATEST_ONLY_ORG, BAD_TRANSACTIONS, stage=io.staged(spark) if staged else None)
+    stage = io.staged(spark, None if staged is True else staged) if staged else None
+    return Cohort(Views(src, RAW), Views(src, LOOKUPS), LATEST_ONLY_ORG, BAD_TRANSACTIONS, stage=stage)
 
 
 def site_codes(spark: SparkSession) -> DataFrame:

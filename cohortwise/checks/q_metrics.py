@@ -11,10 +11,17 @@ from cohortwise.plans import metrics
 from cohortwise.sources.fixtures import Source
 
 
+# What a base frame reads more than once is written out first: the selected scans, and
+# the whole scan frame where its findings join back to it.
+STAGED = {"scans": {"scan"}, "other_findings": {"scans"}, "pulmonary_findings": {"scans"}}
+
+
 def _metric(metric_id: str):
     @query(f"metric_{metric_id}", metric(metric_id))
     def run(spark, path):
-        return metrics.metric(views.cohort(spark, path), metric_id).select("project", "month", "numerator")
+        base = "any" if metric_id == "7" else metrics.BY_ID[metric_id].base
+        c = views.cohort(spark, path, {"scan", "scans"} if base == "any" else STAGED.get(base, False))
+        return metrics.metric(c, metric_id).select("project", "month", "numerator")
 
 
 for _id in METRIC_IDS:

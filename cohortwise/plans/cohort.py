@@ -32,14 +32,18 @@ class Cohort:
                  programme: str = "PROGRAMME", stage: Callable[[DataFrame, str], DataFrame] | None = None):
         self.raw, self.lookups = raw, lookups
         self.stage = stage or (lambda df, name: df)
+        self._current: dict[str, DataFrame] = {}
         self.latest_only_org, self.bad_transactions, self.programme = latest_only_org, bad_transactions, programme
 
     # --- cleaned tables
 
     def current(self, name: str) -> DataFrame:
-        df = tables.current_records(self.raw[name], tables.RECORD_KEYS[name],
-                                    self.lookups.get("excluded_transactions"), self.lookups.get("excluded_people"))
-        return tables.tag_submission(df, self.latest_only_org, self.bad_transactions)
+        """Newest record per key with its flags; the flags look at the selected records."""
+        if name not in self._current:
+            chosen = tables.current_records(self.raw[name], tables.RECORD_KEYS[name],
+                                            self.lookups.get("excluded_transactions"), self.lookups.get("excluded_people"))
+            self._current[name] = tables.tag_submission(self.stage(chosen, name), self.latest_only_org, self.bad_transactions)
+        return self._current[name]
 
     @cached_property
     def demographics(self) -> DataFrame:
@@ -47,7 +51,7 @@ class Cohort:
 
     @cached_property
     def clean_invites(self) -> DataFrame:
-        return self.stage(tables.clean_invite(self.current("invite"), self.programme), "clean_invites")
+        return tables.clean_invite(self.current("invite"), self.programme)
 
     @cached_property
     def clean_scans(self) -> DataFrame:
@@ -56,13 +60,13 @@ class Cohort:
 
     @cached_property
     def clean_measurements(self) -> DataFrame:
-        return self.stage(tables.clean_measurement(self.current("measurement")), "clean_measurements")
+        return tables.clean_measurement(self.current("measurement"))
 
     # --- joins shared by the base frames
 
     @cached_property
     def people(self) -> DataFrame:
-        return self.stage(self.demographics.select("ParticipantID", F.col("CCG_Code").alias("ccg_code"), *PERSON_COLUMNS[1:]), "people")
+        return self.demographics.select("ParticipantID", F.col("CCG_Code").alias("ccg_code"), *PERSON_COLUMNS[1:])
 
     def with_project(self, df: DataFrame) -> DataFrame:
         return joins.name_projects(df.join(self.people, "ParticipantID", "left"), self.lookups["project_names"])
@@ -119,7 +123,7 @@ class Cohort:
 
     @cached_property
     def smoking(self) -> DataFrame:
-        return self.stage(self.with_eligibility(self.with_project(tables.clean_smoking(self.current("smoking")))), "smoking")
+        return self.with_eligibility(self.with_project(tables.clean_smoking(self.current("smoking"))))
 
     def findings(self, column: str, terms: Sequence[str]) -> DataFrame:
         """One row per finding in the free text, with its closest accepted term."""

@@ -8,6 +8,7 @@ years forward; one order stands for one submission.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -259,14 +260,35 @@ def view_sql(name: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", VIEWS[name])
 
 
+class Views(Mapping):
+    """Cohort views by their short name, made when asked for."""
+
+    def __init__(self, source: "Source", names):
+        self._source, self._names = source, list(names)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        return self._source.fx(f"fx_{name}")
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 class Source:
     """The given tables and the cohort views of one directory."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._tables[name]
 
     def fx(self, name: str) -> DataFrame:
         needed = set(re.findall(r"\{(\w+)\}", VIEWS[name]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,10 +128,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(spark: SparkSession):
+def staged(spark: SparkSession, only: Collection[str] | None = None):
     """Stage function for plans.Cohort: write a frame to the shared folder and read it back.
 
     The written table survives lost executors, ends the lineage, and later steps read
     only the columns they need.
     """
-    return lambda df, name: save_snapshot(df, fresh_path(spark, name))
+    return lambda df, name: save_snapshot(df, fresh_path(spark, name)) if only is None or name in only else df
