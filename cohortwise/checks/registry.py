@@ -30,7 +30,9 @@ def with_parts(text: str) -> str:
     visit(text)
     if not order:
         return text
-    return "WITH " + ",\n".join(f"{n} AS ({PARTS[n]})" for n in order) + "\n" + text
+    head = "WITH " + ",\n".join(f"{n} AS ({PARTS[n]})" for n in order)
+    own = text.lstrip()
+    return head + (",\n" + own[len("WITH "):] if own.startswith("WITH ") else "\n" + text)
 
 
 def query(name: str, sql: str | None = None):
