@@ -12,7 +12,7 @@ from cohortwise.checks.sql_parts import PARTS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-_WORD = re.compile(r"\b[a-z][a-z0-9_]*\b")
+_WORD = re.compile(r"\b(?:FROM|JOIN)\s+(\w+)")
 
 
 def with_parts(text: str) -> str:
