@@ -54,6 +54,10 @@ PARTS["ped_diag"] = """SELECT p.*, e.pk, e.days, g.d AS diagnosis_date, g.site,
 FROM ped p LEFT JOIN ev_diag e ON p.event_key = e.event_key LEFT JOIN diag_all g ON e.pk = g.pk"""
 
 
+# What these queries read more than once.
+STAGED = {"invite", "check", "checks", "scan", "clean_scans", "pool", "events", "timeline", "diagnoses", "cube"}
+
+
 @query("people_universe", "SELECT ParticipantID, projects, project_mode, tables FROM pool")
 def people_universe(spark, path):
     return pathway.people(views.cohort(spark, path))
@@ -61,7 +65,7 @@ def people_universe(spark, path):
 
 @query("people_events", "SELECT ParticipantID, projects, project_mode, tables, date, event, event_key, event_month FROM ped")
 def people_events(spark, path):
-    return pathway.people_events(views.cohort(spark, path, staged=True)).select(
+    return pathway.people_events(views.cohort(spark, path, staged=STAGED)).select(
         "ParticipantID", "projects", "project_mode", "tables", "date", "event", "event_key", "event_month")
 
 
@@ -69,7 +73,7 @@ def people_events(spark, path):
        "SELECT 1 AS step_no, 'people' AS step, count(DISTINCT ParticipantID) AS people FROM pool UNION ALL SELECT 2, 'invites', count(DISTINCT ParticipantID) FROM ev_invite UNION ALL "
        "SELECT 3, 'checks', count(DISTINCT ParticipantID) FROM ev_check UNION ALL SELECT 4, 'scans', count(DISTINCT ParticipantID) FROM ev_scan UNION ALL SELECT 5, 'events', count(DISTINCT ParticipantID) FROM line)")
 def funnel_timeline(spark, path):
-    return pathway.funnel_steps(views.cohort(spark, path, staged=True))
+    return pathway.funnel_steps(views.cohort(spark, path, staged=STAGED))
 
 
 @query("consolidated_diagnoses", "SELECT pk, ParticipantID, d AS diagnosis_date, icd AS icd10_3c, stage_group, trust AS trust_code, source, site AS tumour_site_group FROM diag_all")
@@ -79,7 +83,7 @@ def consolidated_diagnoses(spark, path):
 
 
 def linked(spark, path):
-    c = views.cohort(spark, path, staged=True)
+    c = views.cohort(spark, path, staged=STAGED)
     events = c.stage(pathway.people_events(c), "events")
     return pathway.link_diagnoses(events, c.stage(views.all_diagnoses(c, spark), "diagnoses"))
 
@@ -99,8 +103,7 @@ SMOKE = "CASE q.s WHEN 1 THEN 'Current smoker' WHEN 2 THEN 'Previous smoker' ELS
 @query("precedence_flag", f"SELECT d.ParticipantID, {SMOKE} AS smoking_status FROM cl_demographics d LEFT JOIN quitters q ON d.ParticipantID = q.ParticipantID")
 def precedence_flag(spark, path):
     c = views.cohort(spark, path)
-    from cohortwise.plans import tables
-    return pathway.smoking_status(c.demographics, c.clean_measurements, tables.clean_smoking(c.current("smoking")), tables.clean_check(c.current("check")))
+    return pathway.smoking_status(c.demographics, c.current("measurement"), c.current("smoking"), c.current("check"))
 
 
 PARTS["last_scan"] = f"""SELECT ParticipantID, max(scan_d) AS last_scan, count(DISTINCT scan_d) AS n FROM cl_scan WHERE {VALID} AND scan_m IS NOT NULL AND outcome_c = 'LDCT performed' GROUP BY 1"""
@@ -147,12 +150,12 @@ PARTS["mcube"] = "SELECT * EXCLUDE (ParticipantID), count(DISTINCT ParticipantID
 
 
 def milestone_rows(spark, path):
-    c = views.cohort(spark, path, staged=True)
+    c = views.cohort(spark, path, staged=STAGED)
     return pathway.milestones(c, views.all_diagnoses(c, spark))
 
 
 def cube(spark, path):
-    c = views.cohort(spark, path, staged=True)
+    c = views.cohort(spark, path, staged=STAGED)
     return c.stage(pathway.cube(pathway.milestones(c, views.all_diagnoses(c, spark))), "cube")
 
 
@@ -252,9 +255,9 @@ def impute_median(spark, path):
 
 @query("tree_predictions")
 def tree_predictions(spark, path):
-    c = views.cohort(spark, path, staged={"invite", "demographics"})
+    c = views.cohort(spark, path, staged={"tree_rows"})
     rows = c.clean_invites.select("ParticipantID", pathway.invite_outcome("Invite_Outcome").alias("outcome")).join(
         c.demographics.select("ParticipantID", "age", "sex", "ethnic_group", F.coalesce("rurality", F.lit("Not known")).alias("rurality"),
                               F.coalesce(clean.deciles_to_quintiles("imd_decile").cast("string"), F.lit("Not known")).alias("quintile")), "ParticipantID")
-    rows = c.stage(rows, "demographics")
+    rows = c.stage(rows, "tree_rows")
     return models.tree_predictions(rows, F.col("outcome") == "Declined", ["age"], ["sex", "ethnic_group", "rurality", "quintile"], "ParticipantID")

@@ -111,7 +111,16 @@ class Cohort:
 
     @cached_property
     def scans(self) -> DataFrame:
-        return self.stage(self.with_first_check(self.with_risk(self.with_eligibility(self.with_project(self.clean_scans)))), "scans")
+        return self.stage(self.scan_frame(("eligibility", "risk", "first_check")), "scans")
+
+    def scan_frame(self, needs: Sequence[str]) -> DataFrame:
+        """Scans with only the joins that are asked for; the full frame once that exists."""
+        if "scans" in self.__dict__:
+            return self.scans
+        df = self.with_project(self.clean_scans)
+        for need, add in [("eligibility", self.with_eligibility), ("risk", self.with_risk), ("first_check", self.with_first_check)]:
+            df = add(df) if need in needs else df
+        return df
 
     @cached_property
     def diagnostics(self) -> DataFrame:
@@ -127,7 +136,7 @@ class Cohort:
 
     def findings(self, column: str, terms: Sequence[str]) -> DataFrame:
         """One row per finding in the free text, with its closest accepted term."""
-        tokens = (self.scans.filter(F.col(column).isNotNull())
+        tokens = (self.stage(self.scan_frame(("eligibility",)).filter(F.col(column).isNotNull()), "finding_scans")
                   .withColumn("finding", F.explode(text.split_findings(column))))
         return joins.closest_terms(tokens, "finding", terms)
 

@@ -30,6 +30,10 @@ class Metric:
     months: tuple[str, ...]
     where: Callable[[], Column]
     days: Callable[[], Column] | None = None
+    needs: tuple[str, ...] = ()  # joins a scan metric depends on
+
+    def frame(self, cohort: Cohort) -> DataFrame:
+        return cohort.scan_frame(self.needs) if self.base == "scans" else getattr(cohort, self.base)
 
 
 def _has(c: str) -> Column:
@@ -97,9 +101,9 @@ METRICS: list[Metric] = [
     Metric("7s", "Number of people with incidental findings - interstitial lung abnormalities (ilas)", "pulmonary_findings",
            ("scan_month",), lambda: _close("interstitial lung abnormalities (ilas)", 0.2) | _close("ila", 0.2)),
     Metric("7t_alt", "Number of people with incidental findings - other cancers", "scans", ("scan_month",),
-           lambda: _scan(True) & _has("other_referral_date")),
+           lambda: _scan(True) & _has("other_referral_date"), needs=("eligibility",)),
     Metric("7u", "Number of people with incidental findings - emphysema", "scans", ("scan_month",),
-           lambda: _scan(True) & F.upper("Emphysema_Extent").rlike("MODERATE|SEVERE")),
+           lambda: _scan(True) & F.upper("Emphysema_Extent").rlike("MODERATE|SEVERE"), needs=("eligibility",)),
     Metric("8b", "Number of people who were offered a smoking cessation course", "smoking", ("offered_month",),
            lambda: counted(True)),
     Metric("8a", "Number of people who took up a smoking cessation course", "smoking", ("started_month",),
@@ -109,13 +113,13 @@ METRICS: list[Metric] = [
     Metric("10", "Median time from initial invite to check (days)", "first_checks", ("check_month",),
            lambda: F.lit(True), lambda: dates.days_between("first_letter_date", "check_date")),
     Metric("11", "Median time from initial invite to scan (days)", "scans", ("scan_month",),
-           lambda: _scan(True, "Initial scan"), lambda: dates.days_between("first_letter_date", "scan_date")),
+           lambda: _scan(True, "Initial scan"), lambda: dates.days_between("first_letter_date", "scan_date"), needs=("eligibility",)),
     Metric("12", "Median time from check to scan (days)", "scans", ("scan_month",),
-           lambda: _scan(True, "Initial scan"), lambda: dates.days_between("check_date", "scan_date")),
+           lambda: _scan(True, "Initial scan"), lambda: dates.days_between("check_date", "scan_date"), needs=("eligibility", "first_check")),
     Metric("13", "Median time from initial invite to diagnosis (days)", "diagnostics", ("diagnosis_month",),
            lambda: counted(True), lambda: dates.days_between("first_letter_date", "diagnosis_date")),
     Metric("14a", "Number of people referred to the cancer pathway following their scan", "scans", ("lung_referral_month",),
-           lambda: _scan(True) & _high_risk()),
+           lambda: _scan(True) & _high_risk(), needs=("eligibility", "risk")),
 ]
 BY_ID = {m.id: m for m in METRICS}
 
@@ -145,7 +149,7 @@ def records(cohort: Cohort, metric_id: str, keep: Sequence[str] = ()) -> DataFra
     if metric_id == "7":
         return any_finding_records(cohort)
     m = BY_ID[metric_id]
-    return _entries(getattr(cohort, m.base), [m], keep)
+    return _entries(m.frame(cohort), [m], keep)
 
 
 def any_finding_records(cohort: Cohort) -> DataFrame:
@@ -154,9 +158,14 @@ def any_finding_records(cohort: Cohort) -> DataFrame:
 
 
 def _by_base(cohort: Cohort, metrics: Sequence[Metric]) -> DataFrame:
-    bases = dict.fromkeys(m.base for m in metrics)
-    return reduce(DataFrame.unionByName,
-                  [_entries(getattr(cohort, b), [m for m in metrics if m.base == b]) for b in bases])
+    if any(m.base == "scans" and len(m.needs) > 1 for m in metrics):
+        _ = cohort.scans  # one full scan frame serves all scan and finding metrics
+    bases: dict[str, list[Metric]] = {}
+    for m in metrics:
+        bases.setdefault(m.base, []).append(m)
+    return reduce(DataFrame.unionByName, [
+        _entries(cohort.scan_frame(sorted({n for m in ms for n in m.needs})) if b == "scans" else getattr(cohort, b), ms)
+        for b, ms in bases.items()])
 
 
 def count(records: DataFrame) -> DataFrame:

@@ -13,7 +13,9 @@ from cohortwise.plans import vocab
 from cohortwise.plans.cohort import Cohort, counted
 
 ID = "ParticipantID"
-TABLES = ["invite", "oh", "lhc", "meas", "ldct", "diag", "smoking"]
+# Submitted tables and their short names in the list of a person's tables.
+TABLES = {"invite": "invite", "history": "oh", "check": "lhc", "measurement": "meas", "scan": "ldct", "diagnostics": "diag",
+          "smoking": "smoking"}
 
 
 def _window(c) -> Column:
@@ -23,14 +25,14 @@ def _window(c) -> Column:
 def people(cohort: Cohort) -> DataFrame:
     """One row per person of the reported phases: projects, most frequent project, tables.
 
-    Rows are counted per person, project and table before anything is gathered.
+    Rows are counted per person, submitter and table before anything is joined or gathered.
     """
-    frames = [cohort.invites, cohort.history, cohort.checks, cohort.measurements, cohort.scans, cohort.diagnostics, cohort.smoking]
-    rows = reshape.union_all([f.select(ID, "project").withColumn("table", F.lit(n)) for n, f in zip(TABLES, frames)])
-    counts = rows.groupBy(ID, "project", "table").agg(F.count(F.lit(1)).alias("n")).filter(F.length(ID) >= 60)
+    rows = reshape.union_all([cohort.current(t).select(ID, "org_code").withColumn("table", F.lit(n)) for t, n in TABLES.items()])
+    counts = rows.filter(F.length(ID) >= 60).groupBy(ID, "org_code", "table").agg(F.count(F.lit(1)).alias("n"))
+    known = counts.join(cohort.people.select(ID, "ccg_code"), ID)
+    named = joins.name_projects(known, cohort.lookups["project_names"])
     reported = cohort.lookups["projects"].filter(F.col("phase").isin(vocab.REPORTED_PHASES))
-    counts = select.members(counts, reported, "project")
-    counts = select.members(counts, cohort.demographics, ID)
+    counts = select.members(named, reported, "project")
     per_project = counts.groupBy(ID, "project").agg(F.sum("n").alias("n"), F.collect_set("table").alias("t"))
     return per_project.groupBy(ID).agg(
         F.array_join(F.array_sort(F.collect_list("project")), ", ").alias("projects"),
@@ -240,11 +242,11 @@ def milestones(cohort: Cohort, diagnoses: DataFrame, limit: int = vocab.DAYS_LIM
     base = invite_sequence(select.members(cohort.invites, events, ID)).select(
         ID, "project", F.lit("GP eligible population").alias("eligible_population"), "invite_1", "invite_2", "invite_3",
         "invite_outcome", "imd_decile", "rurality", "ethnic_group", "sex", "age_band_eval")
-    status = smoking_status(base, cohort.measurements, cohort.smoking, cohort.checks)
+    status = smoking_status(base, cohort.current("measurement"), cohort.current("smoking"), cohort.current("check"))
     out = (joins.lookup(base.join(status, ID, "left"), cohort.lookups["projects"], "project",
                         ["phase", "CAName", "invite_mode", "lhc_delivery", "triage_before_risk_assessment", "admin"])
            .join(check_summary(cohort.checks), ID, "left")
-           .join(measurement_summary(cohort.measurements), ID, "left")
+           .join(measurement_summary(cohort.with_eligibility(cohort.clean_measurements)), ID, "left")
            .join(scan_summary(cohort.clean_scans), ID, "left"))
     out = repair_gaps(out).join(attribute_outcomes(linked, limit=limit, programme=programme), ID, "left")
     return flag_awaiting(name_missing_outcomes(out), cohort.clean_scans, end, limit)
