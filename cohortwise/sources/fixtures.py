@@ -7,6 +7,7 @@ years forward; one order stands for one submission.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Mapping
 
@@ -260,6 +261,14 @@ def view_sql(name: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", VIEWS[name])
 
 
+# The tables that the cohort views compute many columns from.
+SPREAD = {"lineitem", "orders"}
+
+
+def name_of(file: str) -> str:
+    return os.path.basename(file).removesuffix(".parquet")
+
+
 class Views(Mapping):
     """Cohort views by their short name, made when asked for."""
 
@@ -287,9 +296,20 @@ class Source:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+            self._tables[name] = self._spread(df, f"{self.path}/{name}.parquet")
         return self._tables[name]
 
+    def _spread(self, df: DataFrame, file: str) -> DataFrame:
+        """A local table of one file with one row group would be read by a single task.
+
+        Only such a file of more than a megabyte is spread over the cores; tables of many
+        files, as on a cluster, are left as they are read.
+        """
+        if os.path.isfile(file) and os.path.getsize(file) > 2**20 and name_of(file) in SPREAD:
+            return df.repartition(self.spark.sparkContext.defaultParallelism)
+        return df
+
     def fx(self, name: str) -> DataFrame:
         needed = set(re.findall(r"\{(\w+)\}", VIEWS[name]))
         return self.spark.sql(VIEWS[name], **{t: self.table(t) for t in needed})
