@@ -240,6 +240,20 @@ def odds_ratio_2x2(spark, path):
     return models.odds_ratio_2x2(counts, F.col("e"), F.col("k"), "w")
 
 
+def odds_model(spark, path):
+    """The same odds from a fitted model: one two-level factor has a closed form."""
+    counts = src(spark, path).table("orders").select((F.col("o_custkey") % 2 == 0).cast("string").alias("e"), (F.col("o_orderpriority") == "1-URGENT").alias("k"))
+    counts = counts.groupBy("e", "k").agg(F.count(F.lit(1)).alias("w"))
+    return models.odds_ratio_model(counts, F.col("k"), ["e"], "w")
+
+
+@query("odds_ratio_fit", f"""SELECT 'e=true' AS term, round(a * d / (b * c), 3) AS odds_ratio, round(exp(ln(a * d / (b * c)) - 1.96 * sqrt(1/a + 1/b + 1/c + 1/d)), 3) AS lower,
+ round(exp(ln(a * d / (b * c)) + 1.96 * sqrt(1/a + 1/b + 1/c + 1/d)), 3) AS upper FROM (SELECT CAST(sum(w) FILTER (e AND k) AS DOUBLE) AS a, CAST(sum(w) FILTER (e AND NOT k) AS DOUBLE) AS b,
+ CAST(sum(w) FILTER (NOT e AND k) AS DOUBLE) AS c, CAST(sum(w) FILTER (NOT e AND NOT k) AS DOUBLE) AS d FROM {ODDS})""")
+def odds_ratio_fit(spark, path):
+    return odds_model(spark, path).select("term", *[F.round(c, 3).alias(c) for c in ("odds_ratio", "lower", "upper")])
+
+
 @query("odds_ratio_model")
 def odds_ratio_model(spark, path):
     s = src(spark, path)

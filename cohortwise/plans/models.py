@@ -29,11 +29,13 @@ def odds_ratio_2x2(df: DataFrame, exposed: Column, case: Column, weight: str) ->
 def odds_ratio_model(df: DataFrame, case: Column, factors: Sequence[str], weight: str) -> DataFrame:
     """Logistic regression on the pre-aggregated cells, one row per factor level.
 
-    People are counted per cell, so the fit runs over factor combinations, not people;
-    the first level by name is the reference level. Only coefficients reach the driver.
+    A cell is a combination of factor levels with its share of cases and its number of
+    people as weight, so the fit runs over combinations, not people. The first level by
+    name is the reference level. Only coefficients reach the driver.
     """
-    cells = (df.dropna(subset=list(factors)).groupBy(*factors, case.cast("double").alias("label"))
-             .agg(F.sum(weight).cast("double").alias("w")))
+    cells = (df.dropna(subset=list(factors)).groupBy(*factors)
+             .agg(F.sum(weight).cast("double").alias("w"), F.sum(F.when(case, F.col(weight)).otherwise(0)).cast("double").alias("_k"))
+             .withColumn("label", F.col("_k") / F.col("w")))
     idx = [StringIndexer(inputCol=f, outputCol=f"{f}_i", stringOrderType="alphabetDesc") for f in factors]
     hot = OneHotEncoder(inputCols=[f"{f}_i" for f in factors], outputCols=[f"{f}_v" for f in factors], dropLast=True)
     vec = VectorAssembler(inputCols=[f"{f}_v" for f in factors], outputCol="features")
