@@ -88,6 +88,7 @@ def test_file_rows_and_months(spark):
     assert reports.month_list("2019-11-01", "2020-02-01") == ["2019-11-01", "2019-12-01", "2020-01-01", "2020-02-01"]
 
 
-def test_work_dir_prefers_the_named_folder(spark, monkeypatch, tmp_path):
-    spark.sparkContext.setCheckpointDir(str(tmp_path))
-    assert str(tmp_path) in io.work_dir(spark)
+def test_work_dir_follows_the_session(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert io.work_dir(spark) == (named or spark.sparkContext.getCheckpointDir())
+    assert io.fresh_path(spark, "x").startswith(io.work_dir(spark).rstrip("/") + "/x-")
