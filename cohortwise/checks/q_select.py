@@ -174,7 +174,7 @@ _demographics("rurality_category", "rurality_code, rurality", "rurality_code", "
 @query("factor_levels", """
 SELECT c.*, f.lang_rank FROM (SELECT ParticipantID, marital, ethnic_group, CASE ethnic_group WHEN 'Asian or Asian British' THEN 1 WHEN 'Black or Black British' THEN 2 WHEN 'Mixed' THEN 3
  WHEN 'Not stated' THEN 4 WHEN 'Other Ethnic Group' THEN 5 WHEN 'White' THEN 6 ELSE 7 END AS ethnic_ord, Ethnicity AS raw FROM cl_demographics) c
-JOIN (SELECT Ethnicity AS raw2, rank() OVER (ORDER BY count(*) DESC) AS lang_rank FROM cl_demographics GROUP BY 1) f ON c.raw = f.raw2""")
+JOIN (SELECT Ethnicity AS raw2, CAST(rank() OVER (ORDER BY count(*) DESC) AS INTEGER) AS lang_rank FROM cl_demographics GROUP BY 1) f ON c.raw = f.raw2""")
 def factor_levels(spark, path):
     from pyspark.sql import Window
     d = views.cohort(spark, path).demographics
@@ -258,7 +258,7 @@ def days_between(spark, path):
                                      F.abs(dates.days_between("ship", F.lit("1998-01-01").cast("date"))).alias("apart"))
 
 
-@query("months_between_complete", f"SELECT l_orderkey, l_linenumber, {complete_months('CAST(o_orderdate AS DATE)', 'CAST(l_shipdate AS DATE)')} AS months FROM {LINES}")
+@query("months_between_complete", f"SELECT l_orderkey, l_linenumber, CAST({complete_months('CAST(o_orderdate AS DATE)', 'CAST(l_shipdate AS DATE)')} AS INTEGER) AS months FROM {LINES}")
 def months_between_complete(spark, path):
     return lines(spark, path).select("l_orderkey", "l_linenumber", dates.complete_months("placed", "ship").alias("months"))
 
