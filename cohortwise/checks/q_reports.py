@@ -8,9 +8,9 @@ from cohortwise.checks import cohort_views as views
 from cohortwise.checks.q_joins import ADJ, adjustments
 from cohortwise.checks.q_select import FY, src
 from cohortwise.checks.registry import query
-from cohortwise.checks.sql_parts import E, VALID, records
-from cohortwise.functions import clean, dates
-from cohortwise.operators import aggregate, reshape
+from cohortwise.checks.sql_parts import E, records
+from cohortwise.functions import dates
+from cohortwise.operators import joins, reshape
 from cohortwise.plans import metrics, reports, vocab
 
 
@@ -46,7 +46,6 @@ def metric_table_national(spark, path):
 
 @query("metric_table_phase", metric_table_sql("phase", "(SELECT r.*, p.phase FROM rows_h r LEFT JOIN fx_projects p ON r.project = p.project)", False))
 def metric_table_phase(spark, path):
-    from cohortwise.operators import joins
     phased = joins.lookup(rows(spark, path), src(spark, path).fx("fx_projects"), "project", ["phase"])
     return reports.metric_table(phased, ["phase"], strict=False)
 
@@ -78,7 +77,6 @@ def stage_table(spark, path):
 @query("stage_table_phase", "SELECT *, " + ", ".join(f"round({n} / nullif(total, 0), 4) AS {n}_perc" for n, _ in STAGES) + " FROM ("
        + STAGE.format("phase", "(SELECT r.*, p.phase FROM rows_h r LEFT JOIN fx_projects p ON r.project = p.project)") + ")")
 def stage_table_phase(spark, path):
-    from cohortwise.operators import joins
     phased = joins.lookup(rows(spark, path), src(spark, path).fx("fx_projects"), "project", ["phase"])
     return reports.stage_table(phased, "phase", shares=True)
 
@@ -219,7 +217,6 @@ LEFT JOIN rows_h r ON r.project = p.project AND r.month = m.month AND r.metric_i
 
 
 def filled(spark, path):
-    from cohortwise.operators import joins
     projects = src(spark, path).fx("fx_projects")
     submitted = joins.lookup(rows(spark, path), projects, "project", ["project_code"])
     return reports.fill_template(projects, TEMPLATE_IDS, *SPAN, submitted)

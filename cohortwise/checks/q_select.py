@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortwise.checks import cohort_views as views
 from cohortwise.checks.registry import query
-from cohortwise.checks.sql_parts import complete_months, dt, mon
+from cohortwise.checks.sql_parts import complete_months, dt
 from cohortwise.functions import clean, dates, text
-from cohortwise.operators import select, windows
+from cohortwise.operators import joins, reshape, select
 from cohortwise.plans import diagnoses, pathway, reports, tables, vocab
 from cohortwise.sources.fixtures import Source
 
@@ -176,7 +177,6 @@ SELECT c.*, f.lang_rank FROM (SELECT ParticipantID, marital, ethnic_group, CASE
  WHEN 'Not stated' THEN 4 WHEN 'Other Ethnic Group' THEN 5 WHEN 'White' THEN 6 ELSE 7 END AS ethnic_ord, Ethnicity AS raw FROM cl_demographics) c
 JOIN (SELECT Ethnicity AS raw2, CAST(rank() OVER (ORDER BY count(*) DESC) AS INTEGER) AS lang_rank FROM cl_demographics GROUP BY 1) f ON c.raw = f.raw2""")
 def factor_levels(spark, path):
-    from pyspark.sql import Window
     d = views.cohort(spark, path).demographics
     # frequency order of the raw level, ranked over the few levels, not the rows
     freq = d.groupBy("Ethnicity").agg(F.count(F.lit(1)).alias("n"))
@@ -361,7 +361,6 @@ def disclosure_rounding(spark, path):
  CASE WHEN p.triage_before_risk_assessment = 'Unknown' THEN 'Not known' ELSE p.triage_before_risk_assessment END AS rpt_triage
 FROM b_invites i LEFT JOIN fx_projects p ON i.project = p.project""")
 def report_groupings(spark, path):
-    from cohortwise.operators import joins
     c = views.cohort(spark, path)
     df = joins.lookup(c.invites, c.lookups["projects"], "project", ["triage_before_risk_assessment"])
     return pathway.reporting_groups(df).select("ParticipantID", "rpt_imd", "rpt_age", "rpt_ethnicity", "rpt_triage")
@@ -380,7 +379,6 @@ ACTIVITY = [("Invites", "fx_invite", "First_Letter_Date"), ("LHC", "fx_check", "
     f"SELECT '{n}' AS table_name, strftime(try_strptime({c}, '%d/%m/%Y'), '%Y%m') AS year_month, CAST(count(ParticipantID) AS BIGINT) AS n FROM {v} WHERE TransactionId = 200 GROUP BY 2"
     for n, v, c in ACTIVITY))
 def activity_by_month(spark, path):
-    from cohortwise.operators import reshape
     s = src(spark, path)
     return reshape.union_all([
         s.fx(v).filter("TransactionId = 200").groupBy(dates.year_month_or_null(c).alias("year_month"))

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortwise.functions import clean, dates
-from cohortwise.operators import aggregate, joins, reshape
+from cohortwise.operators import aggregate, joins, reshape, select
+from cohortwise.plans.cohort import counted
 
 # Metrics in report order, and their months and financial years.
 METRIC_ORDER = ["1a", "1c", "1b", "2", "3a", "3b", "3c", "3d", "4a", "4b", "5a", "5b", "5d", "5e", "5f", "5g", "5h",
@@ -290,7 +291,6 @@ def submission_headers(df: DataFrame, label: str, pattern: str, since: str) -> D
 
     Rows become headers first, so the later steps see submissions, not records.
     """
-    from cohortwise.operators import select
     heads = select.recent_headers(df, since, ["SubmittedFile", "ReceivedDate", "TransactionId", "UserEmail"])
     heads = heads.withColumn("table_name", F.lit(label)).withColumn("project_code", project_code("SubmittedFile", pattern))
     return select.latest_submission(heads, "project_code")
@@ -308,7 +308,6 @@ def submission_pivot(headers: DataFrame, tables: Sequence[str], value: str, fill
 
 def submitter_adjustment(invites: DataFrame, since: str) -> DataFrame:
     """One submitter's follow-ups and acceptances by month, next to each other."""
-    from cohortwise.plans.cohort import counted
     start = F.lit(since).cast("date")
     letters = invites.select("ParticipantID", F.explode(F.array(
         F.when(F.col("first_letter_date") >= start, F.col("first_letter_month")),
