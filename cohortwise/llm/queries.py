@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortwise.llm import simhash_tiles, wu_manber
+from cohortwise.llm import (divergence_rules, language_crf, minimax_shards, quality_qda, sentencepiece_viterbi, simhash_tiles, token_shards,
+                            url_rules, warc_chunks, wu_manber)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,11 +27,119 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_register("op1_elias_fano_token_shards")
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.written_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_register("op2_crf_language")
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.identify(_table(spark, sf_dir, "documents"))
+
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(sha, {5 * g + 1}, 5) AS INTEGER) >> {s}) & 31) + 1, 1)"
+    for g in range(8) for s in (15, 10, 5, 0))
+
+
+@_register("op3_warc_chunks", f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY sha) AS first_id FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+ CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM f""")
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_chunks.written_records(_table(spark, sf_dir, "pages"))
+
+
+@_register("op4_quadratic_discriminant")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_qda.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_register("op5_minimax_shards")
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minimax_shards.place(_table(spark, sf_dir, "documents"))
+
+
+# Reference languages and common words.
+_COMMON = """the of and to in is that it for was de la le et les des un que est pour der die und den von zu das mit ist nicht
+ el en y los las por con""".split()
+_QUOTED = ", ".join(f"'{w}'" for w in _COMMON)
+_SPELLED = ", ".join(f"'{v}'" for w in _COMMON for v in (w, w[0].upper() + w[1:]))
+_PART = "CASE WHEN {0} > 0 THEN {0} * log2({0} / (({0} + {1}) / 2)) ELSE 0 END"
+_TERM = f"({_PART.format('p', 'q')} + {_PART.format('q', 'p')}) / 2"
+
+
+@_register("op6_divergence_rules", rf"""
+WITH s AS (SELECT doc_id, lang, coalesce(text, '') AS t,
+  list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
+d AS (SELECT row_number() OVER () AS r, *, CAST(len(w) AS BIGINT) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]'))) AS n_lines,
+  len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')))) AS n_own_lines,
+  regexp_replace(t, '[a-z \t-\r]+', '', 'g') AS rest FROM s),
+win AS (SELECT r, p, array_to_string(w[p:p + 7], ' ') AS x FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8) y),
+rep AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + 8)) AS q FROM (SELECT *, count(*) OVER (PARTITION BY r, x) AS c FROM win) z WHERE c > 1) u GROUP BY r),
+c AS (SELECT d.*, coalesce(rep.n, 0) AS n_repeat_words, length(t) - word_chars AS space, length(rest) AS nr, regexp_replace(rest, '[A-Z]+', '', 'g') AS nu,
+  list_filter(w, lambda x: x IN ({_SPELLED})) AS common FROM d LEFT JOIN rep ON d.r = rep.r),
+h AS (SELECT *, length(nu) AS nn, length(regexp_replace(nu, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, length(regexp_replace(nu, '[^0-9]+', '', 'g')) AS digits,
+  length(regexp_replace(nu, '[\x00-\x7F]+', '', 'g')) AS beyond,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
+f AS (SELECT *, [length(t) - space - nr, nr - nn, digits, space, beyond, nn - digits - beyond - n_symbols, n_symbols] AS ch,
+  list_concat(list_transform([{_QUOTED}], lambda v: len(list_filter(common, lambda x: lower(x) = v))), [n_words - len(common)]) AS wd FROM h),
+parts AS (SELECT r, lang, base_failed, n_words, 'c' AS kind, unnest(range(1, 8)) AS k, unnest(ch) AS v FROM f
+  UNION ALL SELECT r, lang, base_failed, n_words, 'w', unnest(range(1, {len(_COMMON) + 2})), unnest(wd) FROM f),
+refs AS (SELECT lang AS ref, kind, k, sum(v) * 1.0 / sum(sum(v)) OVER (PARTITION BY lang, kind) AS q FROM parts
+  WHERE NOT base_failed AND lang IN ('en', 'fr', 'de', 'es') GROUP BY lang, kind, k),
+shares AS (SELECT *, v * 1.0 / greatest(sum(v) OVER (PARTITION BY r, kind), 1) AS p FROM parts WHERE n_words >= 50),
+js AS (SELECT r, ref, shares.kind, sqrt(greatest(sum({_TERM}), 0)) AS j FROM shares JOIN refs ON shares.kind = refs.kind AND shares.k = refs.k GROUP BY r, ref, shares.kind),
+both_ AS (SELECT r, ref, max(CASE WHEN kind = 'c' THEN j END) AS c, max(CASE WHEN kind = 'w' THEN j END) AS w FROM js GROUP BY r, ref),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY c + w, c, w, ref) AS place FROM both_) x WHERE place = 1)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_lines - n_own_lines AS BIGINT) AS n_dup_lines,
+ CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND coalesce(c <= 0.30 AND (best.w <= 0.295 OR n_words < 100), true) AS kept,
+ ref AS nearest_language, round(c, 6) AS character_distance, round(best.w, 6) AS word_distance
+FROM f LEFT JOIN best ON f.r = best.r""")
+def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_rules.report(_table(spark, sf_dir, "documents"))
+
+
 @_register("op7_simhash_tiles")
 def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_tiles.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@_register("op8_rarest_token_rules", r"""
+WITH u AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, lower(coalesce(url, '')) AS low,
+  translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, CASE
+  WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+  WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+  WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+  WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule,
+  CASE WHEN regexp_matches(low, '(?:^|[^a-z0-9])casino[-.]') THEN 'casino'
+   WHEN regexp_matches(low, '://(?:[^/?#]*[.-])?(?:free|live)-bets[.-]') THEN 'bets'
+   WHEN regexp_matches(low, '://(?:[^/?#]*[.-])?poker[.-]') THEN 'poker'
+   WHEN regexp_matches(low, '://(?:[^/?#]*[.-])?(?:cheap|buy|online)-pills[.-]') THEN 'pills'
+   WHEN regexp_matches(low, '[^a-z0-9]viagra[^a-z0-9]') THEN 'viagra'
+   WHEN regexp_matches(low, '://(?:[^/?#]*\.)?xxx[.-]') THEN 'xxx'
+   WHEN regexp_matches(low, '://(?:[^/?#]*[.-])?adult-[a-z]+\.') THEN 'adult'
+   WHEN regexp_matches(low, '[^a-z0-9]porn[^a-z0-9]') THEN 'porn'
+   WHEN regexp_matches(low, '://(?:[^/?#]*[.-])?(?:payday|fast|easy)-loans[.-]') THEN 'loans'
+   WHEN regexp_matches(low, '://(?:[^/?#]*[.-])?spam-[a-z]+[.-]') THEN 'spam'
+   WHEN regexp_matches(low, '://(?:[^/?#]*[.-])?ads-track[.-]') THEN 'tracking'
+   WHEN regexp_matches(low, '://(?:[^/?#]*[.-])?(?:login|verify)-account[.-]') THEN 'phishing' END AS pattern
+  FROM p)
+SELECT page_id, host, path, rule,
+ CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+ CASE WHEN rule IS NULL THEN pattern END AS pattern_rule
+FROM r""")
+def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(_table(spark, sf_dir, "pages"))
+
+
 @_register("op9_wu_manber", r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
@@ -45,3 +155,8 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit,
 FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN i ON d.doc_id = i.doc_id""")
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wu_manber.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_register("op10_streaming_viterbi")
+def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_viterbi.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
