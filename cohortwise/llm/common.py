@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,36 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
+class Remembered:
+    """Values of text units, each computed once as long as it is remembered.
+
+    At most `most` units are held between two calls. Units met in a single call are forgotten first: in natural text most
+    units are rare, and these would push out the frequent ones.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], most: int):
+        self.compute, self.most = compute, most
+        self.known: dict[str, bytes] = {}
+        self.young: set[str] = set()
+
+    def __call__(self, rows: Iterable[list[str]]) -> Callable[[str], bytes]:
+        """Learn all units of some rows; returns the lookup of their values."""
+        units = set().union(*rows)
+        new = units.difference(self.known)
+        self.young -= units
+        if len(self.known) + len(new) > self.most:
+            for u in self.young:
+                del self.known[u]
+            self.young.clear()
+            if len(self.known) + len(new) > self.most:
+                self.known.clear()
+                new = units
+        listed = list(new)
+        self.known.update(zip(listed, self.compute(listed)))
+        self.young |= new
+        return self.known.__getitem__
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows that no model learns from: crc32 of the id as text leaves no remainder by 5. A missing id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % LEARN_FOLDS == 0, F.lit(False))
