@@ -33,4 +33,5 @@ def site_codes(spark: SparkSession) -> DataFrame:
 
 
 def all_diagnoses(c: Cohort, spark: SparkSession) -> DataFrame:
-    return diagnoses.consolidate(c.raw["registry"], c.raw["rapid"], c.raw["pathway"], diagnoses.icd_groups(site_codes(spark)))
+    return diagnoses.consolidate(c.raw["registry"], c.raw["rapid"], c.raw["pathway"], diagnoses.icd_groups(site_codes(spark)),
+                                 io.staged(spark))

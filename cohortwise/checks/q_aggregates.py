@@ -135,7 +135,7 @@ def funnel_counts(spark, path):
         "large": F.col("o_totalprice") > 250000}, "o_custkey")
 
 
-PROFILED = [("ParticipantID", "string"), ("Age", "string"), ("Sex", "string"), ("Marital_Status", "string"), ("LSOA", "string")]
+PROFILED = [(c, "string") for c in ("ParticipantID", "SubmittedZipFile", "SubmittedFile", "UserEmail", "Age", "Sex", "LSOA", "Ethnicity", "Marital_Status", "CCG_Code")]
 
 
 @query("profile_columns", " UNION ALL ".join(
@@ -143,8 +143,8 @@ PROFILED = [("ParticipantID", "string"), ("Age", "string"), ("Sex", "string"), (
     f"round(1.0 * count(*) FILTER (v IS NULL) / count(*), 6) AS missing_rate, round(1.0 * count(DISTINCT v) / count(*), 6) AS cardinality_rate "
     f"FROM (SELECT CASE WHEN {c} NOT IN ('', 'NULL', 'null', 'Null') THEN {c} END AS v FROM fx_demographics)" for c, t in PROFILED))
 def profile_columns(spark, path):
-    df = clean.junk_to_null(src(spark, path).fx("fx_demographics").select("TransactionId", "ReceivedDate", *[c for c, _ in PROFILED]))
-    return aggregate.profile(df, skip=["TransactionId", "ReceivedDate"], skip_prefix="calc_")
+    df = clean.junk_to_null(src(spark, path).fx("fx_demographics"))
+    return aggregate.profile(df, skip=["TransactionId", "CSURowNumber", "ReceivedDate"], skip_prefix="calc_")
 
 
 @query("list_and_mode", """SELECT o_custkey, string_agg(o_orderpriority, ', ' ORDER BY o_orderpriority) AS values_list, first(o_orderpriority ORDER BY n DESC, o_orderpriority) AS mode
@@ -282,7 +282,8 @@ def unpivot_dates(spark, path):
     return reshape.to_long(inv, ["ParticipantID"], ["first_letter", "second_letter", "call"], "event", "date")
 
 
-MONTHS = ["2023-01-01", "2023-02-01", "2023-03-01", "2023-04-01"]
+MONTHS = [f"{y}-{m:02d}-01" for y in range(2019, 2027) for m in range(1, 13)]
+YEARS = ["2018-19", "2019-20", "2020-21", "2021-22", "2022-23", "2023-24", "2024-25", "2025-26"]
 
 
 @query("pivot_month", "SELECT project, " + ", ".join(f"sum(numerator) FILTER (month = DATE '{m}') AS m_{m[:7].replace('-', '_')}" for m in MONTHS) + " FROM fx_metric_rows GROUP BY 1")
@@ -291,28 +292,25 @@ def pivot_month(spark, path):
     return reshape.to_wide(rows, ["project"], "label", [m[:7].replace("-", "_") for m in MONTHS], F.sum("numerator"), prefix="m_")
 
 
-@query("pivot_fin_year", "SELECT metric_id, " + ", ".join(f"coalesce(sum(numerator) FILTER (fy = '{y}'), 0) AS fy_{y.replace('-', '_')}" for y in reports.FIN_YEARS)
+@query("pivot_fin_year", "SELECT metric_id, " + ", ".join(f"coalesce(sum(numerator) FILTER (fy = '{y}'), 0) AS fy_{y.replace('-', '_')}" for y in YEARS)
        + f" FROM (SELECT *, {FY.format('month')} AS fy FROM rows_h) GROUP BY 1")
 def pivot_fin_year(spark, path):
     rows = reports.harmonise_ids(src(spark, path).fx("fx_metric_rows")).withColumn("fy", F.translate(dates.financial_year("month"), "-", "_"))
-    return reshape.to_wide(rows, ["metric_id"], "fy", [y.replace("-", "_") for y in reports.FIN_YEARS], F.sum("numerator"), fill=0.0, prefix="fy_")
+    return reshape.to_wide(rows, ["metric_id"], "fy", [y.replace("-", "_") for y in YEARS], F.sum("numerator"), fill=0.0, prefix="fy_")
 
 
-@query("pivot_tables", "SELECT TransactionId, " + ", ".join(f"max(ReceivedDate) FILTER (t = '{v}') AS t_{v}" for _, v in TABLES[:4]) + " FROM ("
-       + " UNION ALL ".join(f"SELECT TransactionId, ReceivedDate, '{v}' AS t FROM fx_{v}" for _, v in TABLES[:4]) + ") GROUP BY 1")
+@query("pivot_tables", "SELECT TransactionId, " + ", ".join(f"max(ReceivedDate) FILTER (t = '{v}') AS t_{v}" for _, v in TABLES) + " FROM ("
+       + " UNION ALL ".join(f"SELECT TransactionId, ReceivedDate, '{v}' AS t FROM fx_{v}" for _, v in TABLES) + ") GROUP BY 1")
 def pivot_tables(spark, path):
     s = src(spark, path)
-    rows = reshape.union_all([s.fx(f"fx_{v}").select("TransactionId", "ReceivedDate", F.lit(v).alias("t")) for _, v in TABLES[:4]])
-    return reshape.to_wide(rows, ["TransactionId"], "t", [v for _, v in TABLES[:4]], F.max("ReceivedDate"), prefix="t_")
-
-
-IDS = ["1a", "2", "5a", "9"]
+    rows = reshape.union_all([s.fx(f"fx_{v}").select("TransactionId", "ReceivedDate", F.lit(v).alias("t")) for _, v in TABLES])
+    return reshape.to_wide(rows, ["TransactionId"], "t", [v for _, v in TABLES], F.max("ReceivedDate"), prefix="t_")
 
 
 @query("complete_combinations", f"""SELECT h.project, h.month, v.metric_id, coalesce(m.numerator, 0) AS numerator FROM (SELECT DISTINCT project, month FROM fx_metric_rows) h
-CROSS JOIN (VALUES {', '.join(f"('{i}')" for i in IDS)}) v(metric_id) LEFT JOIN fx_metric_rows m ON h.project = m.project AND h.month = m.month AND v.metric_id = m.metric_id""")
+CROSS JOIN (SELECT DISTINCT metric_id FROM fx_metric_rows) v LEFT JOIN fx_metric_rows m ON h.project IS NOT DISTINCT FROM m.project AND h.month = m.month AND v.metric_id = m.metric_id""")
 def complete_combinations(spark, path):
-    return reshape.complete(src(spark, path).fx("fx_metric_rows"), ["project", "month"], [[i] for i in IDS], ["metric_id"], "numerator", fill=0.0)
+    return reshape.complete(src(spark, path).fx("fx_metric_rows"), ["project", "month"], ["metric_id"], "numerator", fill=0.0)
 
 
 @query("month_calendar", f"""SELECT project, CAST(unnest(generate_series(first_month, last_month, INTERVAL 1 MONTH)) AS DATE) AS month

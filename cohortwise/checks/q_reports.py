@@ -19,13 +19,16 @@ def rows(spark, path):
 
 
 MED = "('10','11','12','13')"
-MONTHS = reports.month_list(reports.FIRST_MONTH, reports.LAST_MONTH)
+# All months and financial years of the given orders, written out apart from the plans.
+SPAN = ("2019-01-01", "2026-03-01")
+MONTHS = [f"{y}-{m:02d}-01" for y in range(2019, 2027) for m in range(1, 13) if (y, m) <= (2026, 3)]
+YEARS = ["2018-19", "2019-20", "2020-21", "2021-22", "2022-23", "2023-24", "2024-25", "2025-26"]
 
 
 def metric_table_sql(group: str, frame: str, strict: bool) -> str:
     value = (f"CASE WHEN missing = 0 THEN CASE WHEN metric_id IN {MED} THEN med ELSE s END END" if strict
              else f"CASE WHEN metric_id IN {MED} THEN med ELSE coalesce(s, 0) END")
-    years = ", ".join(f"CASE WHEN metric_id NOT IN {MED} THEN coalesce(sum(s) FILTER (fy = '{y}'), 0) END AS fy_{y.replace('-', '_')}" for y in reports.FIN_YEARS)
+    years = ", ".join(f"CASE WHEN metric_id NOT IN {MED} THEN coalesce(sum(s) FILTER (fy = '{y}'), 0) END AS fy_{y.replace('-', '_')}" for y in YEARS)
     months = ", ".join(f"max(v) FILTER (month = DATE '{m}') AS m_{m[:7].replace('-', '_')}" for m in MONTHS)
     head, by = (f"{group}, ", f"{group}, metric_id") if group else ("", "metric_id")
     return f"""SELECT {head}metric_id, CASE WHEN metric_id IN {MED} THEN 'Days' ELSE 'People' END AS unit,
@@ -36,18 +39,18 @@ FROM (SELECT *, {value} AS v FROM (SELECT {head}metric_id, month, {FY.format('mo
 
 @query("metric_table", metric_table_sql("project", "rows_h", True))
 def metric_table(spark, path):
-    return reports.metric_table(rows(spark, path), ["project"], strict=True)
+    return reports.metric_table(rows(spark, path), ["project"], True, *SPAN)
 
 
 @query("metric_table_national", metric_table_sql("", "rows_h", False))
 def metric_table_national(spark, path):
-    return reports.metric_table(rows(spark, path), [], strict=False)
+    return reports.metric_table(rows(spark, path), [], False, *SPAN)
 
 
 @query("metric_table_phase", metric_table_sql("phase", "(SELECT r.*, p.phase FROM rows_h r LEFT JOIN fx_projects p ON r.project = p.project)", False))
 def metric_table_phase(spark, path):
     phased = joins.lookup(rows(spark, path), src(spark, path).fx("fx_projects"), "project", ["phase"])
-    return reports.metric_table(phased, ["phase"], strict=False)
+    return reports.metric_table(phased, ["phase"], False, *SPAN)
 
 
 def s_of(ids: str, name: str) -> str:
@@ -193,7 +196,7 @@ _overview("deprivation", "imd_decile", "coalesce(CAST(imd_decile AS VARCHAR), 'N
 
 
 LONG = " UNION ALL ".join(
-    f"SELECT project, metric_id, '{a}' AS demographic, {e} AS demographic_value, count(DISTINCT ParticipantID) AS participants FROM ({record_sql(['1a', '4a'], COLS)}) GROUP BY 1, 2, 4"
+    f"SELECT project, metric_id, '{a}' AS demographic, {e} AS demographic_value, count(DISTINCT ParticipantID) AS participants FROM ({record_sql(['1a', '3a', '3b', '4a', '5a'], COLS)}) GROUP BY 1, 2, 4"
     for a, (_, e, _) in ATTRIBUTES.items())
 
 
@@ -202,14 +205,15 @@ SELECT p.metric_id, p.demographic, p.project, v.demographic_value, c.participant
 JOIN (SELECT DISTINCT metric_id, demographic, demographic_value FROM c) v ON p.metric_id = v.metric_id AND p.demographic = v.demographic
 LEFT JOIN c ON c.metric_id = p.metric_id AND c.demographic = p.demographic AND c.project IS NOT DISTINCT FROM p.project AND c.demographic_value = v.demographic_value""")
 def demographic_flatfile(spark, path):
-    long = reports.demographic_long(people(spark, path, ["1a", "4a"]), {a: c for a, (c, _, _) in ATTRIBUTES.items()})
+    long = reports.demographic_long(people(spark, path, ["1a", "3a", "3b", "4a", "5a"], {"scan", "check"}), {a: c for a, (c, _, _) in ATTRIBUTES.items()})
     return reports.demographic_flatfile(long)
 
 
 # --- templates, datasheets, comparison
 
-SPAN = ("2019-04-01", "2020-03-01")
-TEMPLATE_IDS = ["1a", "2", "3a", "4a", "5a", "10"]
+# Metrics of the template, written out apart from the plans.
+TEMPLATE_IDS = ("1a 1c 1b 2 3a 3b 3c 3d 4a 4b 5a 5b 5d 5e 5f 5g 5h 6a 6b 6c 6d 6e 7 7a 7b 7c 7d 7e 7f 7g 7h 7i 7j 7k "
+                "7l 7m 7n 7o 7p 7q 7r 7s 7t 7u 8b 8a 9 10 11 12 13 14").split()
 TEMPLATE = f"""SELECT p.project_code, p.project, p.phase, p.start_date, p.eligible_population, p.CACode, p.CAName, v.metric_id, CAST(m.month AS DATE) AS month, r.numerator
 FROM fx_projects p CROSS JOIN (VALUES {', '.join(f"('{i}')" for i in TEMPLATE_IDS)}) v(metric_id)
 CROSS JOIN (SELECT unnest(generate_series(DATE '{SPAN[0]}', DATE '{SPAN[1]}', INTERVAL 1 MONTH)) AS month) m
@@ -219,7 +223,7 @@ LEFT JOIN rows_h r ON r.project = p.project AND r.month = m.month AND r.metric_i
 def filled(spark, path):
     projects = src(spark, path).fx("fx_projects")
     submitted = joins.lookup(rows(spark, path), projects, "project", ["project_code"])
-    return reports.fill_template(projects, TEMPLATE_IDS, *SPAN, submitted)
+    return reports.fill_template(projects, reports.METRIC_ORDER, *SPAN, submitted)
 
 
 @query("mi_template", TEMPLATE)
@@ -228,23 +232,20 @@ def mi_template(spark, path):
 
 
 @query("mi_flatfile", f"""SELECT CACode, CAName, project_code AS ProjectCode, project AS Project, metric_id AS MetricId,
- CASE metric_id WHEN '1a' THEN 'First invites' WHEN '2' THEN 'Accepted' WHEN '5a' THEN 'Initial scans' END AS Metric, month, numerator AS Numerator FROM ({TEMPLATE}) WHERE metric_id NOT IN {MED}""")
+ 'Metric ' || metric_id AS Metric, month, numerator AS Numerator FROM ({TEMPLATE}) WHERE metric_id NOT IN {MED}""")
 def mi_flatfile(spark, path):
-    return reports.flat_file(filled(spark, path), {"1a": "First invites", "2": "Accepted", "5a": "Initial scans"})
-
-
-SHEET_IDS = [["1a", "Metric 1a"], ["2", "Metric 2"], ["5a", "Metric 5a"], ["6f", "Metric 6f"]]
+    return reports.flat_file(filled(spark, path), {i: f"Metric {i}" for i in reports.METRIC_ORDER})
 
 
 @query("datasheet_rows", f"""SELECT h.project, h.month, v.metric_id, v.metric_name, coalesce(a.adj, m.numerator) AS numerator,
  CASE WHEN a.adj IS NOT NULL THEN 'Manual adjustment, original data was ' || coalesce(CAST(m.numerator AS VARCHAR), 'NA') END AS comment, p.project_code
-FROM (SELECT DISTINCT project, month FROM fx_metric_rows) h CROSS JOIN (VALUES {', '.join(f"('{a}', '{b}')" for a, b in SHEET_IDS)}) v(metric_id, metric_name)
-LEFT JOIN fx_metric_rows m ON h.project = m.project AND h.month = m.month AND v.metric_id = m.metric_id
+FROM (SELECT DISTINCT project, month FROM fx_metric_rows) h CROSS JOIN (SELECT DISTINCT metric_id, metric_name FROM fx_metric_rows) v
+LEFT JOIN fx_metric_rows m ON h.project IS NOT DISTINCT FROM m.project AND h.month = m.month AND v.metric_id = m.metric_id
 LEFT JOIN ({ADJ}) a ON h.project = a.project AND h.month = a.month AND v.metric_id = a.metric_id
-LEFT JOIN fx_projects p ON h.project = p.project WHERE h.month <= DATE '2024-03-01' AND h.month > DATE '2022-03-01'""")
+LEFT JOIN fx_projects p ON h.project = p.project WHERE h.month <= DATE '2026-03-01' AND h.month > DATE '2018-03-01'""")
 def datasheet_rows(spark, path):
     s = src(spark, path)
-    return reports.datasheet_rows(s.fx("fx_metric_rows"), adjustments(spark, path), s.fx("fx_projects"), SHEET_IDS, "2024-03-01", 24).select(
+    return reports.datasheet_rows(s.fx("fx_metric_rows"), adjustments(spark, path), s.fx("fx_projects"), "2026-03-01", 96).select(
         "project", "month", "metric_id", "metric_name", "numerator", "comment", "project_code")
 
 
@@ -254,7 +255,7 @@ PAIR = f"SELECT {{0}} AS Project, month, {MEASURE} AS measure, coalesce(sum(nume
 
 @query("report_diff", f"""SELECT coalesce(a.Project, b.Project) AS Project, coalesce(a.month, b.month) AS month, coalesce(a.measure, b.measure) AS measure, coalesce(a.v, 0) AS current_value,
  coalesce(b.v, 0) AS last_value, coalesce(a.v, 0) - coalesce(b.v, 0) AS difference FROM ({PAIR.format('project', '')}) a
- FULL JOIN ({PAIR.format("CASE project WHEN 'Project 2' THEN 'Project two' ELSE project END", "AND month < DATE '2024-01-01'")}) b ON a.Project = b.Project AND a.month = b.month AND a.measure = b.measure""")
+ FULL JOIN ({PAIR.format("CASE project WHEN 'Project 2' THEN 'Project two' ELSE project END", "AND month < DATE '2024-01-01'")}) b ON a.Project IS NOT DISTINCT FROM b.Project AND a.month = b.month AND a.measure = b.measure""")
 def report_diff(spark, path):
     flat = src(spark, path).fx("fx_metric_rows").select(F.col("project").alias("Project"), "month", F.col("metric_id").alias("MetricId"),
                                                         F.col("numerator").alias("Numerator"))
@@ -264,7 +265,8 @@ def report_diff(spark, path):
 
 # --- submissions
 
-SUBMITTED = [("Demographics", "demographics", "_DEMOGRAPHICS"), ("Invites", "invite", "_INVITES"), ("LDCT", "scan", "_LDCT"), ("Smoking cessation", "smoking", "_SMOKING")]
+SUBMITTED = [("Demographics", "demographics", "_DEMOGRAPHICS"), ("Invites", "invite", "_INVITES"), ("LHC", "check", "_CHECKS"), ("Measurements", "measurement", "_MEASUREMENTS"),
+             ("Other History", "history", "_HISTORY"), ("LDCT", "scan", "_LDCT"), ("Diagnostics", "diagnostics", "_DIAGNOSTICS"), ("Smoking cessation", "smoking", "_SMOKING")]
 HEADS = " UNION ALL ".join(
     f"""SELECT '{n}' AS table_name, * EXCLUDE (last) FROM (SELECT *, max(ReceivedDate) OVER (PARTITION BY project_code) AS last FROM (SELECT DISTINCT SubmittedFile, ReceivedDate, TransactionId, UserEmail,
  regexp_extract(upper(SubmittedFile), '_(\\w{{3,5}}){p}', 1) AS project_code FROM fx_{v} WHERE ReceivedDate >= DATE '2023-01-01')) WHERE ReceivedDate = last""" for n, v, p in SUBMITTED)

@@ -21,10 +21,10 @@ def src(spark, path):
 # --- exclusions and selection
 
 @query("exclude_transactions", """
-SELECT CSURowNumber, TransactionId FROM fx_invite WHERE TransactionId NOT IN (SELECT TransactionId FROM fx_excluded_transactions)""")
+SELECT CSURowNumber, TransactionId FROM fx_invite WHERE TransactionId NOT IN (SELECT TransactionId FROM fx_excluded_transactions WHERE table_name IS NULL OR table_name = 'invite')""")
 def exclude_transactions(spark, path):
     s = src(spark, path)
-    return select.exclude_listed(s.fx("fx_invite"), s.fx("fx_excluded_transactions"), "TransactionId").select("CSURowNumber", "TransactionId")
+    return select.exclude_listed(s.fx("fx_invite"), tables.listed_for(s.fx("fx_excluded_transactions"), "invite"), "TransactionId").select("CSURowNumber", "TransactionId")
 
 
 @query("exclude_participants", """
@@ -175,13 +175,13 @@ _demographics("rurality_category", "rurality_code, rurality", "rurality_code", "
 @query("factor_levels", """
 SELECT c.*, f.lang_rank FROM (SELECT ParticipantID, marital, ethnic_group, CASE ethnic_group WHEN 'Asian or Asian British' THEN 1 WHEN 'Black or Black British' THEN 2 WHEN 'Mixed' THEN 3
  WHEN 'Not stated' THEN 4 WHEN 'Other Ethnic Group' THEN 5 WHEN 'White' THEN 6 ELSE 7 END AS ethnic_ord, Ethnicity AS raw FROM cl_demographics) c
-JOIN (SELECT Ethnicity AS raw2, CAST(rank() OVER (ORDER BY count(*) DESC) AS INTEGER) AS lang_rank FROM cl_demographics GROUP BY 1) f ON c.raw = f.raw2""")
+JOIN (SELECT Ethnicity AS raw2, CAST(rank() OVER (ORDER BY count(*) DESC) AS INTEGER) AS lang_rank FROM cl_demographics GROUP BY 1) f ON c.raw IS NOT DISTINCT FROM f.raw2""")
 def factor_levels(spark, path):
     d = views.cohort(spark, path).demographics
     # frequency order of the raw level, ranked over the few levels, not the rows
     freq = d.groupBy("Ethnicity").agg(F.count(F.lit(1)).alias("n"))
     ranked = freq.withColumn("lang_rank", F.rank().over(Window.orderBy(F.desc("n")))).drop("n")
-    return d.join(ranked, "Ethnicity").select(
+    return joins.null_safe(d, ranked, ["Ethnicity"], "inner").select(
         "ParticipantID", F.col("marital_status").alias("marital"), "ethnic_group",
         clean.level_order("ethnic_group", vocab.ETHNIC_GROUP).alias("ethnic_ord"), F.col("Ethnicity").alias("raw"), "lang_rank")
 

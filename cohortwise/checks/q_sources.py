@@ -27,9 +27,9 @@ def scan_filter_pushdown(spark, path):
 
 
 @query("load_all_counts", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n FROM {t}" for t in GIVEN if t != "embeddings"))
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n FROM {t}" for t in GIVEN))
 def load_all_counts(spark, path):
-    loaded = io.read_tables(spark, path, [t for t in GIVEN if t != "embeddings"])
+    loaded = io.read_tables(spark, path, GIVEN)
     return reduce(DataFrame.unionByName,
                   [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n") for t, df in loaded.items()])
 
@@ -69,17 +69,17 @@ def aggregate_submission_load(spark, path):
 
 
 @query("multi_file_tagged_read", """
-SELECT o_orderpriority AS source_group, CAST(count(*) AS BIGINT) AS n, CAST(1 AS BIGINT) AS files FROM orders GROUP BY 1""")
+SELECT o_orderpriority AS source_group, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT o_orderkey % 4) AS BIGINT) AS files FROM orders GROUP BY 1""")
 def multi_file_tagged_read(spark, path):
     out = io.fresh_path(spark, "submissions")
     rows = Source(spark, path).table("orders").select(F.col("o_orderkey").cast("string").alias("row_id"), "o_custkey", "o_orderpriority")
-    rows = rows.withColumn("source_group", F.col("o_orderpriority"))
-    rows.repartition("source_group").write.partitionBy("source_group").csv(out, header=True)
+    rows = rows.withColumns({"source_group": F.col("o_orderpriority"), "submission": F.col("row_id").cast("long") % 4})
+    rows.write.partitionBy("source_group", "submission").csv(out, header=True)
     schema = io.text_schema(["row_id", "o_custkey", "o_orderpriority"], {"o_custkey": T.LongType()})
     tagged = io.read_submissions(spark, [out], schema, "row_id")
-    folder = F.regexp_extract("source_file", r"source_group=([^/]+)/", 1)
-    return (tagged.withColumn("source_group", F.col("o_orderpriority"))
-            .groupBy("source_group").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(folder).alias("files")))
+    part = lambda name: F.url_decode(F.regexp_extract("source_file", name + r"=([^/]+)/", 1))  # of the folder, not of the rows
+    return (tagged.groupBy(part("source_group").alias("source_group"))
+            .agg(F.count(F.lit(1)).alias("n"), F.countDistinct(part("submission")).alias("files")))
 
 
 FILE_PARTS = """SELECT page_id, folder_file, nullif(regexp_extract(folder_file, '([^/]+)/([^/_]+)_([A-Za-z]+)_(\\d{4})\\.xlsx$', 1), '') AS ccg_name,

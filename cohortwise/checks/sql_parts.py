@@ -34,7 +34,7 @@ def current(view: str, keys: str, ties: str = "") -> str:
        ELSE 'Valid' END AS transaction_validity
 FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY ReceivedDate DESC, CSURowNumber DESC{ties}) AS rn
   FROM {view}
-  WHERE TransactionId NOT IN (SELECT TransactionId FROM fx_excluded_transactions)
+  WHERE TransactionId NOT IN (SELECT TransactionId FROM fx_excluded_transactions WHERE table_name IS NULL OR table_name = '{view.removeprefix("fx_")}')
     AND ParticipantID NOT IN (SELECT ParticipantID FROM fx_excluded_people WHERE active = 'TRUE')) WHERE rn = 1"""
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,16 @@ def lookup(df: DataFrame, table: DataFrame, key: str, columns: dict[str, str] |
     return df.join(right, key, "left")
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys of which a missing one equals a missing one; the right side's keys fill in where the left has no row."""
+    renamed = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    both = left.join(renamed, on, how)
+    if how in ("full", "right"):
+        both = both.withColumns({k: F.coalesce(k, f"_{k}") for k in keys})
+    return both.drop(*[f"_{k}" for k in keys])
+
+
 def name_projects(df: DataFrame, names: DataFrame, org: str = "org_code", area: str = "ccg_code",
                   out: str = "project") -> DataFrame:
     """Project by submitter; areas that are reported apart take the area's name instead."""
@@ -51,7 +62,9 @@ def nearest_date_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], l
     before = F.last(on, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     found = line.withColumn("_before", before)
     if direction == "both":
-        after = F.first(on, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+        # the line read backwards: a running value again, where a frame up to the end would be built anew for each row
+        back = Window.partitionBy(*keys).orderBy(F.desc("_d"), F.desc("_l"))
+        after = F.last(on, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
         found = found.withColumn("_after", after)
     else:
         found = found.withColumn("_after", F.lit(None).cast("date"))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortwise.operators import joins
+
 
 def to_long(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
     return (df.unpivot(list(ids), list(columns), name, value).filter(F.col(value).isNotNull()))
@@ -27,16 +29,15 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def complete(df: DataFrame, outer: Sequence[str], values: Sequence[Sequence], inner: Sequence[str],
-             keep: str, fill=None) -> DataFrame:
-    """All of df's ``outer`` combinations with all given ``inner`` values.
+def complete(df: DataFrame, outer: Sequence[str], inner: Sequence[str], keep: str, fill=None) -> DataFrame:
+    """All of df's ``outer`` combinations with all its ``inner`` ones; a missing key is a key like any other.
 
-    The inner values are a constant array unfolded on each outer combination.
+    The inner combinations are levels (metrics, not rows): they travel as one array and unfold on each outer combination.
     """
-    items = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(inner, v)]) for v in values])
-    grid = (df.select(*outer).distinct().withColumn("_v", F.explode(items))
+    levels = df.select(F.collect_set(F.struct(*inner))).scalar()
+    grid = (df.select(*outer).distinct().withColumn("_v", F.explode(levels))
             .select(*outer, *[F.col(f"_v.{n}").alias(n) for n in inner]))
-    out = grid.join(df.select(*outer, *inner, keep), [*outer, *inner], "left")
+    out = joins.null_safe(grid, df.select(*outer, *inner, keep), [*outer, *inner], "left")
     return out if fill is None else out.fillna({keep: fill})
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortwise.functions import clean, dates
+from cohortwise.operators import joins
 
 # Upper bounds of the days from the first scan, and their categories.
 SCAN_BOUNDS = [-1, 1, 61, 152, 335, 456, 669, 791, 1400, 1521]
@@ -50,9 +51,9 @@ def event_run_id(df: DataFrame, person: str, date: str, event: str) -> DataFrame
 
 
 def add_count(df: DataFrame, keys: list[str], out: str = "n") -> DataFrame:
-    """Rows per key attached to each row: counted first, then joined, so nothing is gathered."""
+    """Rows per key attached to each row: counted first, then joined, so nothing is gathered. A missing key is a key like any other."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return df.join(counts, keys)
+    return joins.null_safe(df, counts, keys, "inner")
 
 
 def person_contacts(df: DataFrame, person: str, date: str, method: str, rank: str) -> DataFrame:

@@ -41,7 +41,7 @@ class Cohort:
         """Newest record per key with its flags; the flags look at the selected records."""
         if name not in self._current:
             chosen = tables.current_records(self.raw[name], tables.RECORD_KEYS[name],
-                                            self.lookups.get("excluded_transactions"), self.lookups.get("excluded_people"))
+                                            self.lookups.get("excluded_transactions"), self.lookups.get("excluded_people"), name)
             self._current[name] = tables.tag_submission(self.stage(chosen, name), self.latest_only_org, self.bad_transactions)
         return self._current[name]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -77,9 +78,16 @@ def link_rapid_by_group(rapid: DataFrame, registry: DataFrame) -> DataFrame:
                                 "DIAGNOSISDATE", "TUMOUR_ID", "DIAGNOSISDATEBEST", 90)
 
 
-def consolidate(registry: DataFrame, rapid: DataFrame, events: DataFrame, groups: DataFrame) -> DataFrame:
-    """Registry diagnoses, then rapid ones that are later than the registry and not in it."""
-    registry, rapid, events = (select.newest_snapshot(t) for t in (registry, rapid, events))
+def consolidate(registry: DataFrame, rapid: DataFrame, events: DataFrame, groups: DataFrame,
+                stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
+    """Registry diagnoses, then rapid ones that are later than the registry and not in it.
+
+    The registry serves for its rows, its last date and the exclusion of linked records, and the union is read twice to
+    drop repeats: stage writes each once (see io.staged), so that the sources are scanned twice at most.
+    """
+    registry, rapid = stage(select.newest_snapshot(registry), "registry"), stage(select.newest_snapshot(rapid), "rapid")
+    events = stage(select.newest_snapshot(events).filter(F.col("EVENT_TYPE").isin(vocab.DIAGNOSIS_EVENTS))
+                   .select("ParticipantID", "EVENT_DATE", "EVENT_TYPE", "TUMOUR_ID"), "registry_events")
     registry = site_group(registry, "SITE_ICD10_3CHAR", groups, True).withColumn("stage_group", F.substring("STAGE_BEST", 1, 1))
     rapid = site_group(rapid, "TUMOUR_SITE", groups, False).withColumn("stage_group", F.substring("STAGE", 1, 1))
     first = registry.select(
@@ -101,7 +109,7 @@ def consolidate(registry: DataFrame, rapid: DataFrame, events: DataFrame, groups
         F.col("CANALLIANCE_NAME").alias("cancer_alliance"), F.col("FINAL_ROUTE").alias("diag_route"),
         F.lit(RAPID).alias("source"))
     both = code_labels(first.select(*COLUMNS).unionByName(second.select(*COLUMNS)))
-    return drop_repeats(both)
+    return drop_repeats(stage(both, "diagnoses"))
 
 
 def drop_repeats(df: DataFrame) -> DataFrame:

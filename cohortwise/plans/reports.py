@@ -15,7 +15,6 @@ from cohortwise.plans.cohort import counted
 METRIC_ORDER = ["1a", "1c", "1b", "2", "3a", "3b", "3c", "3d", "4a", "4b", "5a", "5b", "5d", "5e", "5f", "5g", "5h",
                 "6a", "6b", "6c", "6d", "6e", "7", "7a", "7b", "7c", "7d", "7e", "7f", "7g", "7h", "7i", "7j", "7k",
                 "7l", "7m", "7n", "7o", "7p", "7q", "7r", "7s", "7t", "7u", "8b", "8a", "9", "10", "11", "12", "13", "14"]
-FIN_YEARS = ["2019-20", "2020-21", "2021-22", "2022-23", "2023-24"]
 FIRST_MONTH, LAST_MONTH = "2019-04-01", "2024-03-01"
 
 # Columns of the project summary and the metrics each one adds up.
@@ -92,10 +91,9 @@ def harmonise_ids(df: DataFrame, retired_names: Sequence[str] = ()) -> DataFrame
     return out.filter(~clean.one_of("metric_name", retired_names)) if retired_names else out
 
 
-def datasheet_rows(metrics: DataFrame, adjustments: DataFrame, projects: DataFrame, metric_names: Sequence[Sequence[str]],
-                   until: str, months_back: int) -> DataFrame:
+def datasheet_rows(metrics: DataFrame, adjustments: DataFrame, projects: DataFrame, until: str, months_back: int) -> DataFrame:
     """Every project month with every metric, adjusted values first, inside the reporting months."""
-    grid = reshape.complete(metrics, ["project", "month"], metric_names, ["metric_id", "metric_name"], "numerator")
+    grid = reshape.complete(metrics, ["project", "month"], ["metric_id", "metric_name"], "numerator")
     adjusted = joins.overlay(grid, adjustments, ["project", "month", "metric_id"], "numerator", "adjusted_numerator")
     coded = joins.lookup(adjusted, projects, "project", {"project_code": "project_code"})
     last = F.lit(until).cast("date")
@@ -130,14 +128,16 @@ def _metric_order() -> Column:
     return clean.level_order("metric_id", METRIC_ORDER)
 
 
-def metric_table(df: DataFrame, group: Sequence[str], strict: bool) -> DataFrame:
+def metric_table(df: DataFrame, group: Sequence[str], strict: bool, first: str = FIRST_MONTH, last: str = LAST_MONTH) -> DataFrame:
     """Total, financial year and month columns per metric for each group, in one pass.
 
+    first and last bound the reported months; totals, years and months are of these rows alone.
     Medians have no totals. strict carries a missing month through, as the project
     version does. The months become columns last, from already aggregated rows.
     """
     median = F.col("metric_id").isin(aggregate.MEDIAN_METRICS)
-    rows = df.select(*group, "metric_id", "month", "numerator", dates.financial_year("month").alias("_fy"))
+    rows = (df.select(*group, "metric_id", "month", "numerator", dates.financial_year("month").alias("_fy"))
+            .filter(F.col("month").between(F.lit(first).cast("date"), F.lit(last).cast("date"))))
     monthly = (rows.groupBy(*group, "metric_id", "_fy", "month")
                .agg(F.sum("numerator").alias("_s"), F.median("numerator").alias("_m"),
                     F.count(F.when(F.col("numerator").isNull(), 1)).alias("_missing")))
@@ -146,14 +146,20 @@ def metric_table(df: DataFrame, group: Sequence[str], strict: bool) -> DataFrame
         value = F.when(F.col("_missing") == 0, F.when(median, F.col("_m")).otherwise(F.col("_s").cast("double")))
     monthly = monthly.withColumn("_v", value)
     years = [F.when(~median, F.coalesce(F.sum(F.when(F.col("_fy") == y, F.col("_s"))), F.lit(0)).cast("double"))
-             .alias("fy_" + y.replace("-", "_")) for y in FIN_YEARS]
+             .alias("fy_" + y.replace("-", "_")) for y in fin_years(first, last)]
     months = [F.max(F.when(F.col("month") == F.lit(m).cast("date"), F.col("_v"))).alias("m_" + m[:7].replace("-", "_"))
-              for m in month_list(FIRST_MONTH, LAST_MONTH)]
+              for m in month_list(first, last)]
     unit = F.when(median, "Days").otherwise("People").alias("unit")
     total = F.when(~median, F.coalesce(F.sum("_s"), F.lit(0)).cast("double")).alias("total")
     return monthly.groupBy(*group, "metric_id").agg(unit, total, *years, *months)
 
 
+def fin_years(first: str, last: str) -> list[str]:
+    """Financial years (April to March) from that of one month to that of another."""
+    start = lambda m: int(m[:4]) - (int(m[5:7]) < 4)
+    return [f"{y}-{(y + 1) % 100:02d}" for y in range(start(first), start(last) + 1)]
+
+
 def month_list(first: str, last: str) -> list[str]:
     y, m = int(first[:4]), int(first[5:7])
     out = []
@@ -257,7 +263,7 @@ def demographic_flatfile(counts: DataFrame) -> DataFrame:
     values = counts.groupBy(*by).agg(F.collect_set("demographic_value").alias("_v"))
     grid = (counts.select(*by, "project").distinct().join(values, by)
             .select(*by, "project", F.explode("_v").alias("demographic_value")))
-    return grid.join(counts, [*by, "project", "demographic_value"], "left")
+    return joins.null_safe(grid, counts, [*by, "project", "demographic_value"], "left")
 
 
 def overview(metric_frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -282,7 +288,7 @@ def report_difference(current: DataFrame, last: DataFrame) -> DataFrame:
     """current - last by project, month and measure; what one report lacks counts as 0."""
     keys = ["Project", "month", "measure"]
     total = lambda df, name: df.groupBy(*keys).agg(F.coalesce(F.sum("Numerator"), F.lit(0)).alias(name))
-    out = total(current, "current_value").join(total(last, "last_value"), keys, "full").fillna(0, ["current_value", "last_value"])
+    out = joins.null_safe(total(current, "current_value"), total(last, "last_value"), keys, "full").fillna(0, ["current_value", "last_value"])
     return out.withColumn("difference", F.col("current_value") - F.col("last_value"))
 
 

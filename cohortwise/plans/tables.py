@@ -24,11 +24,20 @@ RECORD_KEYS = {
 }
 
 
+def listed_for(listed: DataFrame, table: str | None) -> DataFrame:
+    if "table_name" not in listed.columns:
+        return listed
+    return listed.filter(F.col("table_name").isNull() | F.col("table_name").eqNullSafe(table))
+
+
 def current_records(df: DataFrame, keys: Sequence[str], bad_transactions: DataFrame | None = None,
-                    bad_people: DataFrame | None = None) -> DataFrame:
-    """Exclusions, then the newest record per key."""
+                    bad_people: DataFrame | None = None, table: str | None = None) -> DataFrame:
+    """Exclusions, then the newest record per key.
+
+    A listed transaction counts for the table that its row names, and for all tables where it names none.
+    """
     if bad_transactions is not None:
-        df = select.exclude_listed(df, bad_transactions, "TransactionId")
+        df = select.exclude_listed(df, listed_for(bad_transactions, table), "TransactionId")
     if bad_people is not None:
         df = select.exclude_listed(df, bad_people.filter("active = 'TRUE'"), "ParticipantID")
     return select.latest_per_key(df, keys)

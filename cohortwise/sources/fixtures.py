@@ -7,7 +7,6 @@ years forward; one order stands for one submission.
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Mapping
 
@@ -91,7 +90,7 @@ FROM (SELECT o_orderkey AS k, {_person('o_custkey')} AS ParticipantID, {_audit('
  o_orderkey AS CSURowNumber, {_day('o_orderdate', '14 + o_orderkey % 90')} AS s, {_day('o_orderdate', '-400')} AS s0,
  CASE o_orderstatus WHEN 'F' THEN 'Attended' WHEN 'O' THEN 'Did not attend' ELSE 'Participant attended but did not complete LHC' END AS att,
  CASE o_orderkey % 8 WHEN 0 THEN 'F2F' WHEN 2 THEN 'Phone' WHEN 4 THEN 'in-person' END AS LHC_Delivery_Mode
-FROM {{orders}} WHERE o_orderkey % 2 = 0) t"""
+FROM {{orders}}) t"""
 
 VIEWS["fx_measurement"] = f"""
 SELECT {_person('c_custkey')} AS ParticipantID, {_audit('c_custkey', 'c_custkey', "DATE '1999-01-01'", 'MEASUREMENTS')},
@@ -132,7 +131,7 @@ SELECT ParticipantID, {_AUDIT},
  CASE k % 5 WHEN 0 THEN 'y' WHEN 1 THEN 'NO' WHEN 2 THEN ' yes' WHEN 3 THEN 'unsure' END AS Smoking_Cessation_Completed_Successfully
 FROM (SELECT o_orderkey AS k, {_person('o_custkey')} AS ParticipantID, {_audit('o_orderkey', 'o_custkey', 'o_orderdate', 'SMOKING')},
  o_orderkey AS CSURowNumber, {_day('o_orderdate', '20')} AS s, {_day('o_orderdate', '40')} AS s2, {_day('o_orderdate', '100')} AS s3
-FROM {{orders}} WHERE o_custkey % 3 <> 1) t"""
+FROM {{orders}}) t"""
 
 VIEWS["fx_diagnostics"] = f"""
 SELECT ParticipantID, {_AUDIT},
@@ -143,13 +142,13 @@ SELECT ParticipantID, {_AUDIT},
  CASE WHEN k % 3 = 1 THEN {_dirty('s3', 'k+4')} END AS Cancer_Diagnosis_Date
 FROM (SELECT {_LINE} AS k, {_person('o_custkey')} AS ParticipantID, {_audit('o_orderkey', 'o_custkey', 'o_orderdate', 'DIAGNOSTICS')},
  {_LINE} AS CSURowNumber, {_day('l_shipdate', '12')} AS s, {_day('l_shipdate', '20')} AS s2, {_day('l_shipdate', '30')} AS s3
-FROM {_LINES} WHERE l_returnflag = 'R') t"""
+FROM {_LINES}) t"""
 
 VIEWS["fx_history"] = f"""
 SELECT ParticipantID, {_AUDIT}, {_dirty('s', 'k')} AS Cancer_Date
 FROM (SELECT o_orderkey AS k, {_person('o_custkey')} AS ParticipantID, {_audit('o_orderkey', 'o_custkey', 'o_orderdate', 'HISTORY')},
  o_orderkey AS CSURowNumber, {_day('o_orderdate', '-900')} AS s
-FROM {{orders}} WHERE o_orderkey % 6 = 0) t"""
+FROM {{orders}}) t"""
 
 _CODES = """CASE k % 5 WHEN 0 THEN 'C34' WHEN 1 THEN 'C50' WHEN 2 THEN 'C34' WHEN 3 THEN 'D09' ELSE 'C76' END"""
 _STAGES = """CASE k % 6 WHEN 0 THEN '1A' WHEN 1 THEN '2' WHEN 2 THEN '3B' WHEN 3 THEN '4' WHEN 4 THEN '?' ELSE 'U' END"""
@@ -162,8 +161,8 @@ SELECT 'T' || CAST(k AS STRING) AS TUMOUR_ID, ParticipantID, diag AS DIAGNOSISDA
  'TR' || CAST(c % 4 AS STRING) AS DIAG_TRUST, 'Alliance ' || CAST(c % 5 AS STRING) AS CANALLIANCE_NAME, 'Route ' || CAST(k % 3 AS STRING) AS FINAL_ROUTE,
  CASE WHEN k % 4 = 0 THEN 1 ELSE 2 END AS DatasetId
 FROM (SELECT {_LINE} AS k, o_custkey AS c, {_person('o_custkey')} AS ParticipantID,
- CAST(CAST(CAST(l_shipdate AS DATE) + INTERVAL 24 YEAR AS DATE) + CAST(({_LINE}) % 120 AS INT) AS DATE) AS diag
-FROM {_UNIQUE_LINES} WHERE ({_LINE}) % 11 = 0 AND l_shipdate < TIMESTAMP '1998-07-01 00:00:00') t"""
+ CAST(CAST(CAST(l_shipdate AS DATE) + INTERVAL 24 YEAR AS DATE) + CAST(({_LINE}) % 120 - CASE WHEN l_shipdate < TIMESTAMP '1998-07-01 00:00:00' THEN 0 ELSE 2000 END AS INT) AS DATE) AS diag
+FROM {_UNIQUE_LINES}) t"""
 
 VIEWS["fx_rapid"] = f"""
 SELECT 'R' || CAST(k AS STRING) AS TUMOUR_AVP_ID, ParticipantID, diag AS DIAGNOSISDATE, {_CODES} AS TUMOUR_SITE, {_STAGES} AS STAGE,
@@ -173,7 +172,7 @@ SELECT 'R' || CAST(k AS STRING) AS TUMOUR_AVP_ID, ParticipantID, diag AS DIAGNOS
  CASE WHEN k % 3 = 0 THEN 1 ELSE 2 END AS DatasetId
 FROM (SELECT {_LINE} AS k, o_custkey AS c, {_person('o_custkey')} AS ParticipantID,
  CAST(CAST(CAST(l_shipdate AS DATE) + INTERVAL 24 YEAR AS DATE) + CAST(({_LINE}) % 97 AS INT) AS DATE) AS diag
-FROM {_UNIQUE_LINES} WHERE ({_LINE}) % 7 = 0) t"""
+FROM {_UNIQUE_LINES}) t"""
 
 VIEWS["fx_pathway"] = f"""
 SELECT ParticipantID, EVENT_DATE, EVENT_TYPE, TUMOUR_ID, DatasetId
@@ -181,14 +180,14 @@ FROM (SELECT {_person('o_custkey')} AS ParticipantID,
  CAST(CAST(CAST(l_shipdate AS DATE) + INTERVAL 24 YEAR AS DATE) + CAST(({_LINE}) % 120 + ({_LINE}) % 20 AS INT) AS DATE) AS EVENT_DATE,
  CASE ({_LINE}) % 3 WHEN 0 THEN 6 WHEN 1 THEN 100 ELSE 20 END AS EVENT_TYPE,
  'T' || CAST({_LINE} AS STRING) AS TUMOUR_ID, CASE WHEN ({_LINE}) % 5 = 0 THEN 1 ELSE 2 END AS DatasetId
-FROM {_UNIQUE_LINES} WHERE ({_LINE}) % 11 = 0) t"""
+FROM {_UNIQUE_LINES}) t"""
 
 VIEWS["fx_project_names"] = """
 SELECT 'ORG0' || CAST(n_nationkey % 6 AS STRING) AS org_code, 'Project ' || CAST(n_nationkey % 6 AS STRING) AS project_name_place,
  CASE WHEN n_nationkey IN (5, 11) THEN 1 ELSE 0 END AS split_by_ccg,
  CASE n_nationkey WHEN 5 THEN '5' WHEN 11 THEN '6' END AS CCG_Code,
  CASE n_nationkey WHEN 5 THEN 'Area 5' WHEN 11 THEN 'Area 6' END AS project_name_ccg
-FROM {nation} WHERE n_nationkey < 12"""
+FROM {nation}"""
 
 VIEWS["fx_projects"] = """
 SELECT CASE WHEN n_nationkey < 6 THEN 'ORG0' ELSE 'CCG0' END || CAST(CASE WHEN n_nationkey < 6 THEN n_nationkey ELSE n_nationkey - 1 END AS STRING) AS project_code,
@@ -200,7 +199,7 @@ SELECT CASE WHEN n_nationkey < 6 THEN 'ORG0' ELSE 'CCG0' END || CAST(CASE WHEN n
  CASE n_nationkey % 2 WHEN 0 THEN 'Virtual' ELSE 'Face-to-face' END AS lhc_delivery,
  CASE n_nationkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'Unknown' END AS triage_before_risk_assessment,
  CASE n_nationkey % 2 WHEN 0 THEN 'In-house' ELSE 'Outsourced' END AS admin
-FROM {nation} WHERE n_nationkey < 8"""
+FROM {nation}"""
 
 VIEWS["fx_areas"] = """
 SELECT CAST(n_nationkey AS STRING) AS LSOA_CODE, n_name AS LSOA_NAME, 'LA' || CAST(n_regionkey AS STRING) AS LA_CODE, r_name AS LA_NAME,
@@ -214,7 +213,8 @@ SELECT DISTINCT c_mktsegment AS Ethnicity, CASE c_mktsegment WHEN 'AUTOMOBILE' T
 FROM {customer} WHERE c_mktsegment <> 'HOUSEHOLD'"""
 
 VIEWS["fx_excluded_transactions"] = """
-SELECT DISTINCT o_orderkey % 500 AS TransactionId FROM {orders} WHERE o_orderkey % 500 IN (7, 13, 21)"""
+SELECT DISTINCT o_orderkey % 500 AS TransactionId, CASE o_orderkey % 500 WHEN 13 THEN 'invite' WHEN 33 THEN 'scan' WHEN 40 THEN 'check' WHEN 55 THEN 'demographics' END AS table_name
+FROM {orders} WHERE o_orderkey % 500 IN (7, 13, 21, 33, 40, 55)"""
 
 VIEWS["fx_excluded_people"] = f"""
 SELECT {_person('c_custkey')} AS ParticipantID, CASE WHEN c_custkey % 2 = 0 THEN 'TRUE' ELSE 'FALSE' END AS active
@@ -244,7 +244,7 @@ SELECT 'Project ' || CAST(o_custkey % 6 AS STRING) AS project, CAST(CAST(o_order
  CASE o_orderkey % 3 WHEN 0 THEN '1a' WHEN 1 THEN '2' ELSE '5a' END AS metric_id, CAST(MAX(o_orderkey) AS DOUBLE) AS numerator,
  CASE WHEN MAX(o_orderkey) % 4 = 0 THEN 'FALSE' ELSE 'TRUE' END AS active,
  CASE WHEN MAX(o_orderkey) % 5 = 0 THEN '2023-01-01' END AS date_removed
-FROM {orders} WHERE EXTRACT(DAY FROM o_orderdate) = 1 GROUP BY 1, 2, 3"""
+FROM {orders} GROUP BY 1, 2, 3"""
 
 VIEWS["fx_files"] = """
 SELECT page_id, CASE page_id % 11 WHEN 0 THEN 'Working.xlsx' WHEN 1 THEN '~' || code || '/' || code || '_Mar_2022.xlsx'
@@ -261,14 +261,6 @@ def view_sql(name: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", VIEWS[name])
 
 
-# The tables that the cohort views compute many columns from.
-SPREAD = {"lineitem", "orders"}
-
-
-def name_of(file: str) -> str:
-    return os.path.basename(file).removesuffix(".parquet")
-
-
 class Views(Mapping):
     """Cohort views by their short name, made when asked for."""
 
@@ -296,20 +288,9 @@ class Source:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
-            self._tables[name] = self._spread(df, f"{self.path}/{name}.parquet")
+            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
         return self._tables[name]
 
-    def _spread(self, df: DataFrame, file: str) -> DataFrame:
-        """A local table of one file with one row group would be read by a single task.
-
-        Only such a file of more than a megabyte is spread over the cores; tables of many
-        files, as on a cluster, are left as they are read.
-        """
-        if os.path.isfile(file) and os.path.getsize(file) > 2**20 and name_of(file) in SPREAD:
-            return df.repartition(self.spark.sparkContext.defaultParallelism)
-        return df
-
     def fx(self, name: str) -> DataFrame:
         needed = set(re.findall(r"\{(\w+)\}", VIEWS[name]))
         return self.spark.sql(VIEWS[name], **{t: self.table(t) for t in needed})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Collection, Mapping, Sequence
@@ -114,18 +116,37 @@ def write_bundle(results: Mapping[str, DataFrame], path: str) -> list[str]:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables: the cluster's checkpoint folder.
 
-    Only where the session names none, as in tests, a folder of our own is set.
+    Only where the session names none and all its tasks run on this machine, as in tests, a folder of our own is set;
+    on a cluster each executor would write to a disk of its own.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="cohortwise-")
         context.setCheckpointDir(named)
     return named
 
 
+_WRITTEN: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; release() removes what was written there."""
+    path = f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(release, spark)
+    _WRITTEN.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the staged tables of this run: by hand once no frame reads them any more, and when the program ends."""
+    context = spark.sparkContext
+    while _WRITTEN and context._jsc is not None:
+        path = context._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(spark: SparkSession, only: Collection[str] | None = None):

@@ -154,3 +154,34 @@ def test_sequence_sees_dates_not_rows(spark):
     rows = [("hot", DAY)] * 500 + [("hot", DAY + d.timedelta(3)), ("a", DAY)]
     got = {(r.p, r.d): (r.sequence, r.previous) for r in windows.sequence_dates(spark.createDataFrame(rows, "p string, d date"), "p", "d").collect()}
     assert got == {("hot", DAY): (1, None), ("hot", DAY + d.timedelta(3)): (2, DAY), ("a", DAY): (1, None)}
+
+
+def test_missing_keys_are_keys(spark):
+    from cohortwise.operators import windows
+    from cohortwise.plans import reports
+    rows = spark.createDataFrame([("a", "x", 1.0), (None, "x", 2.0), (None, None, 3.0)], "project string, metric_id string, numerator double")
+    assert sorted((r.project or "", r.n) for r in windows.add_count(rows, ["project"]).collect()) == [("", 2), ("", 2), ("a", 1)]
+    full = reshape.complete(rows, ["project"], ["metric_id"], "numerator", fill=0.0)
+    assert {(r.project, r.metric_id): r.numerator for r in full.collect()} == {("a", "x"): 1.0, ("a", None): 0.0, (None, "x"): 2.0, (None, None): 3.0}
+    flat = spark.createDataFrame([(None, "2023-01-01", "invited_first", 5.0)], "Project string, month string, measure string, Numerator double")
+    assert [tuple(r) for r in reports.report_difference(flat, flat).collect()] == [(None, "2023-01-01", "invited_first", 5.0, 5.0, 0.0)]
+    counts = spark.createDataFrame([("1a", "sex", None, "Female", 3)], "metric_id string, demographic string, project string, demographic_value string, participants long")
+    assert [r.participants for r in reports.demographic_flatfile(counts).collect()] == [3]
+
+
+def test_nearest_dates_of_one_key_with_many_dates(spark):
+    import datetime as d
+    start = d.date(1970, 1, 1)
+    left = spark.createDataFrame([("p", start + d.timedelta(days=3 * i)) for i in range(20_000)], "k string, a date")
+    right = spark.createDataFrame([("p", start + d.timedelta(days=7 * i)) for i in range(5_000)], "k string, b date")
+    pairs = joins.nearest_date_pairs(left, right, ["k"], "a", "b")
+    got = {(r.a - start).days: r.days for r in pairs.select("a", "days").distinct().collect()}
+    last = 7 * 4_999
+    assert got == {x: min(x % 7, 7 - x % 7) if x < last else x - last for x in range(0, 60_000, 3)}
+    assert "unboundedfollowing" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_financial_years_of_a_range():
+    from cohortwise.plans import reports
+    assert reports.fin_years("2019-04-01", "2024-03-01") == ["2019-20", "2020-21", "2021-22", "2022-23", "2023-24"]
+    assert reports.fin_years("2019-03-01", "2019-04-01") == ["2018-19", "2019-20"]
