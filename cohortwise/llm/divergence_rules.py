@@ -13,6 +13,8 @@ Missing languages teach nothing. Repeated rows are judged alike.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,27 +83,31 @@ def _let(value: Column, use) -> Column:
 def describe(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, characters and words (histograms) in columns _dr_*."""
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumn(_named("list"), words_of(t))
-    words = F.col(_named("list"))
     lines = F.filter(F.split(t, "\n"), lambda x: F.rlike(x, F.lit("[^ \\t-\\r]")))
-    rows = rows.withColumns({
-        _named("n_words"): F.size(words).cast("long"), _named("word_chars"): F.length(F.array_join(words, "")).cast("long"),
-        _named("n_dup_lines"): _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        _named("n_repeat_words"): _repeated_words(words, WINDOW).cast("long"),
-        _named("rest"): _strip(t, "[a-z \\t-\\r]+")})
-    rest = F.col(_named("rest"))
-    rows = rows.withColumn(_named("no_upper"), _strip(rest, "[A-Z]+"))
-    no_upper = F.col(_named("no_upper"))
-    n_symbols = F.regexp_count(no_upper, F.lit("[#*$%&|<>]"))
-    digits, beyond = F.regexp_count(no_upper, F.lit("[0-9]")), F.length(_strip(no_upper, "[\\x00-\\x7F]+"))
-    space = F.length(t) - F.col(_named("word_chars"))
-    characters = F.array(F.length(t) - space - F.length(rest), F.length(rest) - F.length(no_upper), digits, space, beyond,
-                         F.length(no_upper) - digits - beyond - n_symbols, n_symbols)
+    dup_lines = _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
     spelled = [v for w in _COMMON for v in (w, w.capitalize())]
-    places = F.transform(F.filter(words, lambda w: w.isin(spelled)), lambda w: F.array_position(F.array(*map(F.lit, _COMMON)), F.lower(w)).cast("int"))
-    counts = _let(places, lambda p: F.concat(F.array(*[F.size(p) - F.size(F.array_remove(p, k + 1)) for k in range(len(_COMMON))]), F.array(F.size(words) - F.size(p))))
-    return rows.withColumns({_named("n_symbols"): n_symbols.cast("long"), _named("characters"): characters, _named("words"): counts}).drop(
-        _named("list"), _named("rest"), _named("no_upper"))
+
+    def of_rest(rest: Column, space: Column) -> Column:
+        return _let(_strip(rest, "[A-Z]+"), lambda left: _let(
+            F.struct(F.regexp_count(left, F.lit("[0-9]")).alias("digits"), F.length(_strip(left, "[\\x00-\\x7F]+")).alias("beyond"),
+                     F.regexp_count(left, F.lit("[#*$%&|<>]")).alias("symbols")),
+            lambda n: F.array(F.length(t) - space - F.length(rest), F.length(rest) - F.length(left), n["digits"], space, n["beyond"],
+                              F.length(left) - n["digits"] - n["beyond"] - n["symbols"], n["symbols"])))
+
+    def of_words(words: Column) -> Column:
+        places = F.transform(F.filter(words, lambda w: w.isin(spelled)), lambda w: F.array_position(F.array(*map(F.lit, _COMMON)), F.lower(w)).cast("int"))
+        common = _let(places, lambda p: F.concat(F.array(*[F.size(p) - F.size(F.array_remove(p, k + 1)) for k in range(len(_COMMON))]), F.array(F.size(words) - F.size(p))))
+        chars = F.length(F.array_join(words, ""))
+        characters = _let(chars, lambda n: F.struct(n.alias("n"), _let(_strip(t, "[a-z \\t-\\r]+"), lambda rest: of_rest(rest, F.length(t) - n)).alias("by_class")))
+        return F.struct(F.size(words).cast("long").alias("n_words"), _repeated_words(words, WINDOW).cast("long").alias("n_repeat_words"),
+                        characters.alias("characters"), common.alias("words"))
+
+    rows = _pinned(docs, _let(words_of(t), of_words), _named("d"))
+    d = F.col(_named("d"))
+    return rows.withColumns({
+        _named("n_words"): d["n_words"], _named("word_chars"): d["characters"]["n"].cast("long"), _named("n_symbols"): F.get(d["characters"]["by_class"], F.lit(6)).cast("long"),
+        _named("n_dup_lines"): dup_lines.cast("long"), _named("n_repeat_words"): d["n_repeat_words"],
+        _named("characters"): d["characters"]["by_class"], _named("words"): d["words"]}).drop(_named("d"))
 
 
 def _base_failed() -> Column:
@@ -114,41 +120,60 @@ def references(described: DataFrame, lang: str = "lang") -> dict[str, tuple[list
     sums = [F.sum(F.get(_named("characters"), F.lit(k))).alias(f"c{k}") for k in range(len(CLASSES))]
     sums += [F.sum(F.get(_named("words"), F.lit(k))).alias(f"w{k}") for k in range(BINS)]
     got = described.where(~_base_failed() & F.col(lang).isin(*LANGUAGES)).groupBy(lang).agg(*sums).collect()
-    shares = lambda xs: [x / sum(xs) for x in xs]
-    return {r[0]: (shares(r[1:1 + len(CLASSES)]), shares(r[1 + len(CLASSES):])) for r in sorted(got)}
+    parts = lambda xs: [x / sum(xs) for x in xs]
+    return {r[0]: (parts(r[1:1 + len(CLASSES)]), parts(r[1 + len(CLASSES):])) for r in sorted(got)}
 
 
-def distance(counts: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) between a histogram and shares."""
+def shares(counts: Column) -> Column:
+    """Parts of the whole; zeros without any count."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+    return _let(F.greatest(total, F.lit(1)), lambda n: F.transform(counts, lambda c: c / n))
+
+
+def _information(parts: Column) -> Column:
+    """Sum of x * log2(x), 0 at 0."""
+    return F.aggregate(parts, F.lit(0.0), lambda a, x: a + F.when(x > 0, x * F.log2(x)).otherwise(0.0))
+
 
-    def part(p: Column, q: Column) -> Column:
-        mean = (p + q) / 2
-        return (F.when(p > 0, p * F.log2(p / mean)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / mean)).otherwise(0.0)) / 2
+def distance(p: Column, own: Column, reference: list[float]) -> Column:
+    """Jensen-Shannon distance (base 2, 0 to 1) between shares and a reference; own is the shares' _information.
 
-    terms = F.zip_with(counts, F.array(*map(F.lit, reference)), lambda c, q: F.struct((c / F.greatest(total, F.lit(1))).alias("p"), q.alias("q")))
-    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + part(x["p"], x["q"])), F.lit(0.0)))
+    The divergence is the entropy of the mean less the mean of the entropies.
+    """
+    theirs = sum(q * math.log2(q) for q in reference if q > 0)
+    mean = _information(F.zip_with(p, F.array(*map(F.lit, reference)), lambda a, b: (a + b) / 2))
+    return F.sqrt(F.greatest((own + theirs) / 2 - mean, F.lit(0.0)))
 
 
 def judge(described: DataFrame, refs: dict[str, tuple[list[float], list[float]]], into: str = "_dr_verdict") -> DataFrame:
     """described and a struct: base_failed, language, character_distance, word_distance, kept."""
     failed, n = _base_failed(), F.col(_named("n_words"))
     near = "struct<total:double,c:double,w:double,language:string>"
-    if refs:
-        each = []
-        for language, (characters, words) in refs.items():
-            c, w = distance(F.col(_named("characters")), characters), distance(F.col(_named("words")), words)
-            each.append(F.struct((c + w).alias("total"), c.alias("c"), w.alias("w"), F.lit(language).alias("language")))
-        best = F.array_min(F.array(*each))
-    else:
-        best = F.lit(None).cast(near)
-    rows = described.withColumn(_named("best"), F.when(n >= GUARD_WORDS, best))
+    def nearest(p: Column, q: Column) -> Column:
+        def of_language(name: str, c: list[float], w: list[float], i: Column) -> Column:
+            pair = F.struct(distance(p, i["c"], c).alias("c"), distance(q, i["w"], w).alias("w"))
+            return _let(pair, lambda d: F.struct((d["c"] + d["w"]).alias("total"), d["c"].alias("c"), d["w"].alias("w"), F.lit(name).alias("language")))
+        return _let(F.struct(_information(p).alias("c"), _information(q).alias("w")),
+                    lambda i: F.array_min(F.array(*[of_language(x, c, w, i) for x, (c, w) in refs.items()])))
+
+    best = (_let(shares(F.col(_named("characters"))), lambda p: _let(shares(F.col(_named("words"))), lambda q: nearest(p, q)))
+            if refs else F.lit(None).cast(near))
+    rows = _pinned(described, F.when(n >= GUARD_WORDS, best), _named("best"))
     b = F.col(_named("best"))
     close = F.coalesce((b["c"] <= MOST_CHARACTERS) & ((b["w"] <= MOST_COMMON) | (n < GUARD_COMMON)), F.lit(True))
     return rows.withColumn(into, F.struct(failed.alias("base_failed"), b["language"].alias("language"), b["c"].alias("character_distance"),
                                           b["w"].alias("word_distance"), (~failed & close).alias("kept"))).drop(_named("best"))
 
 
+def _pinned(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """df with a column that is computed once for each row.
+
+    A filter on a plain column is moved below it by the optimizer, which then writes the whole expression out at each use; what a generator
+    returns stays where it is.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed, kept, and both distances to the nearest reference."""
     described = stage(describe(docs.select("doc_id", "text", "lang")).drop("text"), "divergence-counts")
