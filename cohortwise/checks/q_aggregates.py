@@ -10,7 +10,7 @@ from cohortwise.checks.q_select import FY, LINES, lines, src
 from cohortwise.checks.registry import query
 from cohortwise.checks.sql_parts import complete_months
 from cohortwise.functions import clean, dates
-from cohortwise.operators import aggregate, reshape, select, windows
+from cohortwise.operators import aggregate, joins, reshape, select, windows
 from cohortwise.plans import reports, tables
 
 M = "CAST(date_trunc('month', {0}) AS DATE)"
@@ -103,7 +103,7 @@ def sum_or_median(spark, path):
     rows = reports.harmonise_ids(src(spark, path).fx("fx_metric_rows"))
     by = ["metric_id", "project"]
     strict = aggregate.sum_or_median(rows, by, strict=True).withColumnRenamed("numerator", "strict_value")
-    return strict.join(aggregate.sum_or_median(rows, by).withColumnRenamed("numerator", "lenient_value"), by)
+    return joins.null_safe(strict, aggregate.sum_or_median(rows, by).withColumnRenamed("numerator", "lenient_value"), by, "inner")
 
 
 @query("grouping_subtotals", """SELECT CASE WHEN grouping(c_mktsegment) = 1 THEN 'Total' ELSE c_mktsegment END AS segment, CASE WHEN grouping(nation) = 1 THEN 'Total' ELSE nation END AS nation,

@@ -204,13 +204,13 @@ def project_summary(df: DataFrame, projects: DataFrame) -> DataFrame:
     """
     phase = joins.lookup(df, projects, "project", {"phase": "phase"})
     group = F.when(F.col("phase") == "Original", "Original").when(F.col("phase").isNotNull(), "Onboarded / Phase 3")
-    rows = phase.select("metric_id", "numerator", F.explode(F.array_compact(F.array(
-        F.col("project"), group, F.lit("Total")))).alias("row"))
+    rows = phase.select("metric_id", "numerator", F.explode(F.concat(
+        F.array("project"), F.array_compact(F.array(group, F.lit("Total"))))).alias("row"))  # rows without a project are a row of their own
     pop = projects.select(F.col("eligible_population").alias("n"), F.explode(F.array(
         F.col("project"), F.when(F.col("phase") == "Original", "Original").otherwise("Onboarded / Phase 3"),
         F.lit("Total"))).alias("row")).groupBy("row").agg(F.sum("n").cast("double").alias("metric_1b"))
     sums = rows.groupBy("row").agg(*[_sum_of(ids, name) for name, ids in SUMMARY_COLUMNS.items()])
-    return pop.join(sums, "row", "full")
+    return joins.null_safe(pop, sums, ["row"], "full")
 
 
 def ratio_summary(df: DataFrame, projects: DataFrame) -> DataFrame:

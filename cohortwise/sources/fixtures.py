@@ -40,8 +40,9 @@ def _dirty(s: str, k: str) -> str:
 
 
 def _audit(key: str, cust: str, ts: str, table: str) -> str:
-    return (f"'ORG0' || CAST({cust} % 6 AS STRING) || '_202401.zip' AS SubmittedZipFile, "
-            f"'MI_ORG0' || CAST({cust} % 6 AS STRING) || '_{table}.csv' AS SubmittedFile, "
+    org = f"CAST(CASE WHEN {cust} % 89 = 5 THEN 8 ELSE {cust} % 6 END AS STRING)"  # submitter 8 has no project
+    return (f"'ORG0' || {org} || '_202401.zip' AS SubmittedZipFile, "
+            f"'MI_ORG0' || {org} || '_{table}.csv' AS SubmittedFile, "
             f"'user' || CAST({cust} % 3 AS STRING) || '@example.org' AS UserEmail, "
             f"{key} % 500 AS TransactionId, CAST(CAST({ts} AS DATE) + INTERVAL 24 YEAR AS DATE) AS ReceivedDate")
 
@@ -61,7 +62,7 @@ SELECT {_person('c_custkey')} AS ParticipantID, {_audit('c_custkey', 'c_custkey'
  CASE WHEN c_custkey % 31 = 0 THEN 'NULL' WHEN c_custkey % 37 = 0 THEN 'IA2' WHEN c_custkey % 7 = 0 THEN CAST(45 + c_custkey % 40 AS STRING) || 'yrs'
    ELSE CAST(45 + c_custkey % 40 AS STRING) END AS Age,
  CASE c_custkey % 5 WHEN 0 THEN 'F' WHEN 1 THEN ' male' WHEN 2 THEN 'FEMALE' WHEN 3 THEN 'm' ELSE 'X' END AS Sex,
- CAST(c_nationkey AS STRING) AS LSOA, c_mktsegment AS Ethnicity,
+ CAST(c_nationkey AS STRING) AS LSOA, CASE WHEN c_custkey % 83 <> 3 THEN c_mktsegment END AS Ethnicity,
  CASE c_custkey % 6 WHEN 0 THEN 'Single' WHEN 1 THEN 'Divorced' WHEN 2 THEN 'Widow(er)' WHEN 3 THEN 'Separated' WHEN 4 THEN 'unlisted' END AS Marital_Status,
  CAST(c_nationkey % 7 AS STRING) AS CCG_Code
 FROM {{customer}}"""
@@ -230,14 +231,14 @@ FROM {orders} GROUP BY o_custkey % 6, o_orderkey % 6,
  substr(CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR AS DATE) AS STRING), 3, 2) || substr(CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR AS DATE) AS STRING), 6, 2)"""
 
 VIEWS["fx_metric_rows"] = """
-SELECT 'Project ' || CAST(c % 6 AS STRING) AS project, metric_id, month, 'Metric ' || metric_id AS metric_name,
+SELECT CASE WHEN c % 7 <> 6 THEN 'Project ' || CAST(c % 7 AS STRING) END AS project, metric_id, month, 'Metric ' || metric_id AS metric_name,
  CASE WHEN MIN(k) % 31 = 0 THEN NULL ELSE CAST(COUNT(DISTINCT c) + SUM(k % 7) AS DOUBLE) END AS numerator
 FROM (SELECT o_custkey AS c, o_orderkey AS k, CAST(date_trunc('month', CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR) AS DATE) AS month,
  CASE o_orderkey % 24 WHEN 0 THEN '1a' WHEN 1 THEN '1c' WHEN 2 THEN '2' WHEN 3 THEN '3a' WHEN 4 THEN '3b' WHEN 5 THEN '3c' WHEN 6 THEN '3d'
   WHEN 7 THEN '4' WHEN 8 THEN '4b' WHEN 9 THEN '5a' WHEN 10 THEN '5b' WHEN 11 THEN '5d' WHEN 12 THEN '5e' WHEN 13 THEN '6a' WHEN 14 THEN '6b'
   WHEN 15 THEN '6c' WHEN 16 THEN '6d' WHEN 17 THEN '6e' WHEN 18 THEN '7' WHEN 19 THEN '8a' WHEN 20 THEN '8b' WHEN 21 THEN '10'
   WHEN 22 THEN '11' ELSE '14a' END AS metric_id
-FROM {orders}) t GROUP BY c % 6, metric_id, month"""
+FROM {orders}) t GROUP BY c % 7, metric_id, month"""
 
 VIEWS["fx_adjustments"] = """
 SELECT 'Project ' || CAST(o_custkey % 6 AS STRING) AS project, CAST(CAST(o_orderdate AS DATE) + INTERVAL 24 YEAR AS DATE) AS month,
