@@ -9,7 +9,9 @@ from cohortwise.checks.q_select import OUT, src
 from cohortwise.checks.registry import query
 from cohortwise.checks.sql_parts import E, PARTS, VALID
 from cohortwise.functions import clean
+from cohortwise.operators import aggregate
 from cohortwise.plans import models, pathway, vocab
+from cohortwise.sources import io
 
 WIN = "BETWEEN DATE '2019-04-01' AND DATE '2024-03-31'"
 
@@ -262,6 +264,48 @@ def odds_ratio_model(spark, path):
     return models.odds_ratio_model(counts, F.col("o_orderpriority") == "1-URGENT", ["o_orderstatus", "c_mktsegment"], "w")
 
 
+# Factors of the pathway regressions and their reference levels.
+REFERENCES = {"sex": "Female", "ethnic_group": "White", "smoking_status": "Current smoker", "invite_mode": "Opt-in"}
+OUTCOMES = {"pathway_odds_attended": ("attendance", "LHC Attended"), "pathway_odds_scanned": ("scan_group", None)}
+
+
+def _odds(name: str, column: str, value: str | None):
+    hit = f"{column} = '{value}'" if value else f"{column} IS NOT NULL"
+    counts = " UNION ALL ".join(
+        f"SELECT '{f}' AS factor, {f} AS level, '{r}' AS reference, CAST(coalesce(sum(participants) FILTER ({hit}), 0) AS DOUBLE) AS cases, "
+        f"CAST(coalesce(sum(participants) FILTER (({hit}) IS NOT TRUE), 0) AS DOUBLE) AS others FROM mcube WHERE {f} IS NOT NULL GROUP BY 2" for f, r in REFERENCES.items())
+    whole = "cases > 0 AND others > 0 AND c > 0 AND d > 0"
+    odds, se = "ln(cases * d / (others * c))", "sqrt(1 / cases + 1 / others + 1 / c + 1 / d)"
+
+    @query(name, f"""WITH n AS ({counts}) SELECT n.factor, level, reference, cases, others, CASE WHEN {whole} THEN round(exp({odds}), 4) END AS odds_ratio,
+ CASE WHEN {whole} THEN round(exp({odds} - 1.96 * {se}), 4) END AS lower, CASE WHEN {whole} THEN round(exp({odds} + 1.96 * {se}), 4) END AS upper
+FROM n LEFT JOIN (SELECT factor, cases AS c, others AS d FROM n WHERE level = reference) b ON n.factor = b.factor""")
+    def run(spark, path):
+        case = F.col(column) == value if value else F.col(column).isNotNull()
+        return models.odds_by_level(cube(spark, path), case, REFERENCES, "participants")
+
+
+for _name, _outcome in OUTCOMES.items():
+    _odds(_name, *_outcome)
+
+
+SEGMENTS = [("all", "TRUE"), ("opt in", "invite_mode = 'Opt-in'"), ("opt out", "invite_mode = 'Opt-out'"), ("virtual", "lhc_delivery = 'Virtual'"),
+            ("face to face", "lhc_delivery = 'Face-to-face'"), ("original", "phase = 'Original'"), ("onboarded", "phase = 'Onboarded'"), ("triage", "triage_before_risk_assessment = 'Yes'")]
+
+
+def _conversion(name: str, base: str, hit: str):
+    @query(name, " UNION ALL ".join(
+        f"SELECT '{n}' AS segment, CAST(coalesce(sum(participants) FILTER ({base}), 0) AS BIGINT) AS base, CAST(coalesce(sum(participants) FILTER (({base}) AND {hit}), 0) AS BIGINT) AS hit, "
+        f"round(coalesce(sum(participants) FILTER (({base}) AND {hit}), 0) / nullif(CAST(coalesce(sum(participants) FILTER ({base}), 0) AS DOUBLE), 0), 4) AS conversion FROM mcube WHERE {c} HAVING count(*) > 0" for n, c in SEGMENTS))
+    def run(spark, path):
+        return aggregate.segment_ratios(cube(spark, path), {n: F.coalesce(F.expr(c), F.lit(False)) for n, c in SEGMENTS}, "participants",
+                                        F.coalesce(F.expr(base), F.lit(False)), F.coalesce(F.expr(f"({base}) AND {hit}"), F.lit(False)))
+
+
+_conversion("lhc_conversion", "invite_1 IS NOT NULL", "attendance = 'LHC Attended'")
+_conversion("ct_conversion", "attendance = 'LHC Attended'", "scan_group IS NOT NULL")
+
+
 @query("impute_median", "SELECT ParticipantID, coalesce(age_n, (SELECT median(age_n) FROM cl_demographics)) AS age FROM cl_demographics")
 def impute_median(spark, path):
     return models.impute_median(views.cohort(spark, path).demographics.select("ParticipantID", "age"), "age")
@@ -271,7 +315,8 @@ def impute_median(spark, path):
 def tree_predictions(spark, path):
     c = views.cohort(spark, path, staged={"tree_rows"})
     rows = c.clean_invites.select("ParticipantID", pathway.invite_outcome("Invite_Outcome").alias("outcome")).join(
-        c.demographics.select("ParticipantID", "age", "sex", "ethnic_group", F.coalesce("rurality", F.lit("Not known")).alias("rurality"),
+        c.demographics.select("ParticipantID", "age", "sex", "ethnic_group", F.coalesce("marital_status", F.lit("Not known")).alias("marital_status"), F.coalesce("rurality", F.lit("Not known")).alias("rurality"),
                               F.coalesce(clean.deciles_to_quintiles("imd_decile").cast("string"), F.lit("Not known")).alias("quintile")), "ParticipantID")
     rows = c.stage(rows, "tree_rows")
-    return models.tree_predictions(rows, F.col("outcome") == "Declined", ["age"], ["sex", "ethnic_group", "rurality", "quintile"], "ParticipantID")
+    return models.tree_predictions(rows, F.col("outcome") == "Declined", ["age"], ["sex", "marital_status", "ethnic_group", "rurality", "quintile"], "ParticipantID",
+                                   stage=io.staged(spark))

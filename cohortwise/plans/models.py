@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
@@ -26,6 +26,25 @@ def odds_ratio_2x2(df: DataFrame, exposed: Column, case: Column, weight: str) ->
                         F.round(F.exp(log_or + 1.96 * se), 4).alias("upper"))
 
 
+def odds_by_level(df: DataFrame, case: Column, references: Mapping[str, str], weight: str) -> DataFrame:
+    """Odds ratio of each level of each factor against the factor's reference level, with cases and others, in closed form.
+
+    One grouped pass serves all factors; a missing level is no level.
+    """
+    cells = F.array(*[F.struct(F.lit(f).alias("factor"), F.col(f).cast("string").alias("level"), F.lit(r).alias("reference")) for f, r in references.items()])
+    counts = (df.select(case.alias("_case"), F.col(weight).alias("_w"), F.explode(cells).alias("_c")).filter("_c.level IS NOT NULL")
+              .groupBy("_c.factor", "_c.level", "_c.reference")
+              .agg(F.coalesce(F.sum(F.when(F.col("_case"), F.col("_w"))), F.lit(0)).cast("double").alias("cases"),
+                   F.coalesce(F.sum(F.when(~F.coalesce("_case", F.lit(False)), F.col("_w"))), F.lit(0)).cast("double").alias("others")))
+    base = counts.filter("level = reference").select("factor", F.col("cases").alias("_c"), F.col("others").alias("_d"))
+    part = lambda c: F.nullif(F.col(c), F.lit(0.0))  # no ratio where a cell is empty
+    log_or = F.log(part("cases") * part("_d") / (part("others") * part("_c")))
+    se = F.sqrt(1 / part("cases") + 1 / part("others") + 1 / part("_c") + 1 / part("_d"))
+    return counts.join(base, "factor", "left").select(
+        "factor", "level", "reference", "cases", "others", F.round(F.exp(log_or), 4).alias("odds_ratio"),
+        F.round(F.exp(log_or - 1.96 * se), 4).alias("lower"), F.round(F.exp(log_or + 1.96 * se), 4).alias("upper"))
+
+
 def odds_ratio_model(df: DataFrame, case: Column, factors: Sequence[str], weight: str) -> DataFrame:
     """Logistic regression on the pre-aggregated cells, one row per factor level.
 
@@ -57,20 +76,23 @@ def impute_median(df: DataFrame, column: str) -> DataFrame:
 
 
 def fit_tree(df: DataFrame, label: Column, numeric: Sequence[str], categories: Sequence[str], depths=(2, 4, 6),
-             min_gain=(0.0, 0.001), folds: int = 2, seed: int = 7):
-    """Tree over imputed numbers and dummy columns; depth and least gain by cross-validation.
+             min_gain=(0.0, 0.001), folds: int = 2, seed: int = 7, stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df):
+    """Tree over numbers (missing ones take the exact median) and dummy columns; depth and least gain by cross-validation.
 
+    Each fit reads the prepared features again; stage writes them once (see io.staged).
     Spark trees have no cost-complexity pruning; the cross-validated limits stand for it.
     """
     data = df.withColumn("label", label.cast("double"))
     imputed = [f"{c}_m" for c in numeric]
+    for c, m in zip(numeric, imputed):
+        data = impute_median(data.withColumn(m, F.col(c).cast("double")), m)
     stages = [
-        Imputer(inputCols=list(numeric), outputCols=imputed, strategy="median"),
         StringIndexer(inputCols=list(categories), outputCols=[f"{c}_i" for c in categories], handleInvalid="keep"),
         OneHotEncoder(inputCols=[f"{c}_i" for c in categories], outputCols=[f"{c}_v" for c in categories]),
         VectorAssembler(inputCols=[*imputed, *[f"{c}_v" for c in categories]], outputCol="features"),
     ]
     prepared = Pipeline(stages=stages).fit(data).transform(data).select("features", "label", *df.columns)
+    prepared = stage(prepared, "tree_features")
     tree = DecisionTreeClassifier(seed=seed)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).addGrid(tree.minInfoGain, list(min_gain)).build()
     cv = CrossValidator(estimator=tree, estimatorParamMaps=grid, numFolds=folds, seed=seed,
@@ -78,7 +100,7 @@ def fit_tree(df: DataFrame, label: Column, numeric: Sequence[str], categories: S
     return cv.fit(prepared), prepared
 
 
-def tree_predictions(df: DataFrame, label: Column, numeric: Sequence[str], categories: Sequence[str], key: str) -> DataFrame:
-    model, prepared = fit_tree(df, label, numeric, categories)
+def tree_predictions(df: DataFrame, label: Column, numeric: Sequence[str], categories: Sequence[str], key: str, **how) -> DataFrame:
+    model, prepared = fit_tree(df, label, numeric, categories, **how)
     return model.transform(prepared).select(key, F.col("label").cast("int").alias("label"),
                                             F.col("prediction").cast("int").alias("prediction"))
