@@ -30,6 +30,8 @@ from cohortwise.llm.common import batch, stage, utf8
 WORDS, RADIUS, SEED = 3, 2, 42
 BLOCKS = 4
 TILE, GROUP = 1024, 8192
+#: Runs of a key up to this many fingerprints are compared without tiles.
+SHORT_RUN = 64
 
 
 def fingerprint(text: bytes | None, words: int = WORDS) -> int:
@@ -102,38 +104,49 @@ def _join(roots: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _compare(keys: list[str], radius: int, tile: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held = None, []
+def _short_runs(run: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many short runs of one key each: every fingerprint against the next, the second next and so on inside its run."""
+    roots, at = np.arange(len(prints)), np.arange(len(prints))
+    step = 1
+    while len(at):
+        at = at[at + step < len(prints)]
+        at = at[run[at] == run[at + step]]
+        near = at[np.bitwise_count(prints[at] ^ prints[at + step]) <= radius]
+        _join(roots, near, near + step)
+        step += 1
+    child = np.flatnonzero(roots != np.arange(len(prints)))
+    return prints[child], prints[roots[child]]
 
-        def links(parts):
-            a, b = tile_links(np.concatenate(parts).view(np.uint64), radius, tile)
-            return batch(_LINK, a=a.view(np.int64), b=b.view(np.int64))
 
+def _compare(keys: list[str], radius: int, tile: int):
+    """Links inside the runs of equal keys of a sorted partition. Short runs are worked through together, long ones in tiles."""
+    def of(prints: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        sizes = ends - starts
+        long_ = sizes > SHORT_RUN
+        found = [_short_runs(np.repeat(np.arange(len(sizes)), np.where(long_ | (sizes < 2), 0, sizes)),
+                             prints[np.repeat(~long_ & (sizes > 1), sizes)], radius)]
+        found += [tile_links(prints[s:e], radius, tile) for s, e in zip(starts[long_].tolist(), ends[long_].tolist())]
+        a, b = (np.concatenate(x) for x in zip(*found))
+        if len(a):
+            yield batch(_LINK, a=a.view(np.int64), b=b.view(np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for b in batches:
             if not b.num_rows:
                 continue
-            columns = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
-            prints = b.column("fp").to_numpy(zero_copy_only=False).astype(np.int64)
+            table = [b.column(k).to_numpy(zero_copy_only=False) for k in [*keys, "fp"]]
+            if held is not None:
+                table = [np.concatenate([h, t]) for h, t in zip(held, table)]
+            prints = table[-1].astype(np.int64).view(np.uint64)
             new = np.ones(len(prints), bool)
-            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in table[:-1]])
             starts = np.flatnonzero(new)
-            ends = np.append(starts[1:], len(prints))
-            first = tuple(c[0] for c in columns)
-            for k, (s, e) in enumerate(zip(starts.tolist(), ends.tolist())):
-                edge = k == 0 or k == len(starts) - 1
-                if not edge:
-                    if e - s > 1:
-                        yield links([prints[s:e]])
-                    continue
-                key = first if k == 0 else tuple(c[s] for c in columns)
-                if key != held_key:
-                    if sum(map(len, held)) > 1:
-                        yield links(held)
-                    held_key, held = key, []
-                held.append(prints[s:e])
-        if sum(map(len, held)) > 1:
-            yield links(held)
+            last = int(starts[-1])  # the run that the next batch may go on with
+            yield from of(prints[:last], starts[:-1], starts[1:])
+            held = [c[last:] for c in table]
+        if held is not None:
+            yield from of(held[-1].astype(np.int64).view(np.uint64), np.array([0]), np.array([len(held[-1])]))
     return run
 
 
