@@ -31,26 +31,28 @@ def metric_table_sql(group: str, frame: str, strict: bool) -> str:
     years = ", ".join(f"CASE WHEN metric_id NOT IN {MED} THEN coalesce(sum(s) FILTER (fy = '{y}'), 0) END AS fy_{y.replace('-', '_')}" for y in YEARS)
     months = ", ".join(f"max(v) FILTER (month = DATE '{m}') AS m_{m[:7].replace('-', '_')}" for m in MONTHS)
     head, by = (f"{group}, ", f"{group}, metric_id") if group else ("", "metric_id")
+    zeros, blanks = ", ".join("0.0" for _ in YEARS), ", ".join("NULL" for _ in MONTHS)
+    people = f"SELECT {head}'1b', 'People', CAST(sum(eligible_population) AS DOUBLE), {zeros}, {blanks} FROM fx_projects" + (f" GROUP BY {group}" if group else "")
     return f"""SELECT {head}metric_id, CASE WHEN metric_id IN {MED} THEN 'Days' ELSE 'People' END AS unit,
  CASE WHEN metric_id NOT IN {MED} THEN coalesce(sum(s), 0) END AS total, {years}, {months}
 FROM (SELECT *, {value} AS v FROM (SELECT {head}metric_id, month, {FY.format('month')} AS fy, sum(numerator) AS s, median(numerator) AS med,
- count(*) FILTER (numerator IS NULL) AS missing FROM {frame} GROUP BY ALL)) GROUP BY {by}"""
+ count(*) FILTER (numerator IS NULL) AS missing FROM {frame} GROUP BY ALL)) GROUP BY {by} UNION ALL {people}"""
 
 
 @query("metric_table", metric_table_sql("project", "rows_h", True))
 def metric_table(spark, path):
-    return reports.metric_table(rows(spark, path), ["project"], True, *SPAN)
+    return reports.metric_table(rows(spark, path), ["project"], True, *SPAN, src(spark, path).fx("fx_projects"))
 
 
 @query("metric_table_national", metric_table_sql("", "rows_h", False))
 def metric_table_national(spark, path):
-    return reports.metric_table(rows(spark, path), [], False, *SPAN)
+    return reports.metric_table(rows(spark, path), [], False, *SPAN, src(spark, path).fx("fx_projects"))
 
 
 @query("metric_table_phase", metric_table_sql("phase", "(SELECT r.*, p.phase FROM rows_h r LEFT JOIN fx_projects p ON r.project = p.project)", False))
 def metric_table_phase(spark, path):
     phased = joins.lookup(rows(spark, path), src(spark, path).fx("fx_projects"), "project", ["phase"])
-    return reports.metric_table(phased, ["phase"], False, *SPAN)
+    return reports.metric_table(phased, ["phase"], False, *SPAN, src(spark, path).fx("fx_projects"))
 
 
 def s_of(ids: str, name: str) -> str:

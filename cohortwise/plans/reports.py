@@ -128,9 +128,11 @@ def _metric_order() -> Column:
     return clean.level_order("metric_id", METRIC_ORDER)
 
 
-def metric_table(df: DataFrame, group: Sequence[str], strict: bool, first: str = FIRST_MONTH, last: str = LAST_MONTH) -> DataFrame:
+def metric_table(df: DataFrame, group: Sequence[str], strict: bool, first: str = FIRST_MONTH, last: str = LAST_MONTH,
+                 projects: DataFrame | None = None) -> DataFrame:
     """Total, financial year and month columns per metric for each group, in one pass.
 
+    projects adds row 1b: the eligible population as the total, and nothing in the years and months.
     first and last bound the reported months; totals, years and months are of these rows alone.
     Medians have no totals. strict carries a missing month through, as the project
     version does. The months become columns last, from already aggregated rows.
@@ -151,7 +153,12 @@ def metric_table(df: DataFrame, group: Sequence[str], strict: bool, first: str =
               for m in month_list(first, last)]
     unit = F.when(median, "Days").otherwise("People").alias("unit")
     total = F.when(~median, F.coalesce(F.sum("_s"), F.lit(0)).cast("double")).alias("total")
-    return monthly.groupBy(*group, "metric_id").agg(unit, total, *years, *months)
+    table = monthly.groupBy(*group, "metric_id").agg(unit, total, *years, *months)
+    if projects is None:
+        return table
+    people = (projects.groupBy(*group).agg(F.sum("eligible_population").cast("double").alias("total"))
+              .withColumns({"metric_id": F.lit("1b"), "unit": F.lit("People"), **{"fy_" + y.replace("-", "_"): F.lit(0.0) for y in fin_years(first, last)}}))
+    return table.filter("metric_id <> '1b'").unionByName(people, allowMissingColumns=True)
 
 
 def fin_years(first: str, last: str) -> list[str]:
