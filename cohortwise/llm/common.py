@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,31 +37,30 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
 class Remembered:
     """Values of text units, each computed once as long as it is remembered.
 
-    At most `most` units are held between two calls. Units met in a single call are forgotten first: in natural text most
-    units are rare, and these would push out the frequent ones.
+    About `most` units of at most `longest` characters are held; when there are more, the older half is forgotten. Frequent
+    units come back at once, and most of the others would not have been met again.
     """
 
-    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], most: int):
-        self.compute, self.most = compute, most
+    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], most: int, longest: int = 48):
+        self.compute, self.most, self.longest = compute, most, longest
         self.known: dict[str, bytes] = {}
-        self.young: set[str] = set()
-
-    def __call__(self, rows: Iterable[list[str]]) -> Callable[[str], bytes]:
-        """Learn all units of some rows; returns the lookup of their values."""
-        units = set().union(*rows)
-        new = units.difference(self.known)
-        self.young -= units
-        if len(self.known) + len(new) > self.most:
-            for u in self.young:
-                del self.known[u]
-            self.young.clear()
-            if len(self.known) + len(new) > self.most:
-                self.known.clear()
-                new = units
-        listed = list(new)
-        self.known.update(zip(listed, self.compute(listed)))
-        self.young |= new
-        return self.known.__getitem__
+
+    def __call__(self, rows: list[list[str]]) -> list[list[bytes]]:
+        """The values of all units of some rows."""
+        get = self.known.get
+        out = [list(map(get, units)) for units in rows]
+        holes = [(units, values, [k for k, v in enumerate(values) if v is None]) for units, values in zip(rows, out) if None in values]
+        new = list({units[k] for units, _, places in holes for k in places})
+        if new:
+            found = dict(zip(new, self.compute(new)))
+            for units, values, places in holes:
+                for k in places:
+                    values[k] = found[units[k]]
+            self.known.update((u, v) for u, v in found.items() if len(u) <= self.longest)
+            if len(self.known) > self.most:
+                for u in list(islice(self.known, len(self.known) - self.most // 2)):
+                    del self.known[u]
+        return out
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -178,7 +178,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.stream = StreamingViterbi(vocabulary)
-        self.remembered = Remembered(lambda units: map(self.search, units), REMEMBERED)
+        self.remembered = Remembered(lambda units: map(self.search, units), REMEMBERED, SHORT)
 
     def search(self, text: str) -> bytes:
         return array(self.v.code, self.stream.feed(text) + self.stream.finish()).tobytes()
@@ -188,12 +188,7 @@ class Encoder:
         texts = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
         if self.v.units is None:
             return [self.search(t) for t in texts]
-        split = [self.v.units(t) for t in texts]
-        longer = {u for units in split for u in units if len(u) > SHORT}
-        get = self.remembered(split if not longer else [[u for u in units if len(u) <= SHORT] for units in split])
-        if longer:
-            return [b"".join([get(u) if len(u) <= SHORT else self.search(u) for u in units]) for units in split]
-        return [b"".join(map(get, units)) for units in split]
+        return [b"".join(values) for values in self.remembered([self.v.units(t) for t in texts])]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 bytes of a text."""

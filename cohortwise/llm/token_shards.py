@@ -20,23 +20,27 @@ are ordered by text. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cohortwise.llm.common import batch
+from cohortwise.llm.common import Remembered, batch
 from cohortwise.sources import io
 
 SEGMENT = 1 << 18
 #: Distinct text units whose ids one Python worker remembers.
 REMEMBERED = 1 << 19
+#: New words that go to the library as one string.
+JOINED = 256
 SAMPLE = 64
 
 
@@ -86,41 +90,62 @@ class EliasFano:
         return highs + (bits.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
 
 
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+
+
 class UnitEncoder:
     """Ids of whole texts by a byte-level BPE file of the tokenizers library.
 
-    The file's split pattern never lets a token start before white space and end after it, so a text's ids are those of its
-    units (white space, then everything up to the next white space) in a row. Units repeat; the library encodes each once.
+    The file's split pattern ends a token where white space begins, and where a run of letters ends, so a text's ids are those of its units in
+    a row: white space and letters up to the next other character, or white space and all that follows up to the next white space.
+    Units repeat; the library encodes each once. New units of one space or line end and letters go to it as one string, whose ids are
+    dealt to the units by the bytes that each token stands for.
     Four control characters count as white space for Python only; texts that hold one are encoded in one piece.
     """
 
-    UNIT = re.compile(r"\s*\S+|\s+")
+    UNIT = re.compile(rf"\s*[{_LETTERS}]++(?=[\s!-@\[-`{{-~]|\Z)|\s*\S+|\s+")
+    WORD = re.compile(f" [{_LETTERS}]+")
     ODD = re.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; the library's own threads keep memory each
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a character of a byte-level token is a byte
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)
+        self.remembered = Remembered(self._learn, REMEMBERED)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def _learn(self, units: list[str]) -> list[bytes]:
+        words = list(filter(self.WORD.fullmatch, units))
+        found: dict[str, bytes] = {}
+        parts = [words[at:at + JOINED] for at in range(0, len(words), JOINED)]
+        for part, encoded in zip(parts, self.tokenizer.encode_batch_fast(["".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(encoded.ids, self.kind)
+            ends = np.cumsum([len(u.encode()) for u in part])
+            upto = np.cumsum(self.bytes_of[ids])
+            cuts = np.searchsorted(upto, ends) + 1
+            if (upto[cuts - 1] != ends).any():
+                raise ValueError("a token crosses words: this tokenizer file splits text in another way")
+            packed, cuts = ids.tobytes(), (cuts * self.width).tolist()
+            found.update(zip(part, [packed[a:z] for a, z in zip([0, *cuts], cuts)]))
+        others = [u for u in units if u not in found]
+        for u, encoded in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            found[u] = np.array(encoded.ids, self.kind).tobytes()
+        return list(map(found.__getitem__, units))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         split = [None if self.ODD.search(t) else self.UNIT.findall(t) for t in texts]
-        known = self.known
-        new = list({u for units in split if units for u in units if u not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list({u for units in split if units for u in units})
-        for at in range(0, len(new), 1 << 14):
-            part = new[at:at + (1 << 14)]
-            known.update(zip(part, self._ids(part)))
-        get = known.__getitem__
-        return [self._ids([t])[0] if units is None else b"".join(map(get, units)) for t, units in zip(texts, split)]
+        values = iter(self.remembered([units for units in split if units is not None]))
+        return [self._ids(t).tobytes() if units is None else b"".join(next(values)) for t, units in zip(texts, split)]
 
 
 _SEGMENT = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("offset", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
@@ -128,7 +153,7 @@ _SEGMENT = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("offset",
 _SEGMENT_DDL = ("part int, segment int, offset long, n_ids long, doc_ids array<long>, width int, ids binary, "
                 "low_bits int, low binary, high binary, samples binary")
 _ENCODERS: dict[str, UnitEncoder] = {}
-#: Text characters encoded at a time.
+#: Text bytes encoded at a time.
 SLICE = 1 << 20
 
 
@@ -146,7 +171,7 @@ def _writer(tokenizer: str, end_id: int, segment: int):
 
         for b in batches:
             names, texts = b.column("doc_id").to_pylist(), b.column("text")
-            sizes = np.cumsum([len(t) if t else 0 for t in texts.to_pylist()]) // SLICE
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // SLICE
             cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), b.num_rows]
             for lo, hi in zip(cuts, cuts[1:]):
                 for name, packed in zip(names[lo:hi], encoder.encode([t or "" for t in texts[lo:hi].to_pylist()])):
@@ -174,7 +199,7 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     found = spark.read.schema(_SEGMENT_DDL).parquet(path)
     parts = found.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # a row for each part file
-    return found.join(before, "part").withColumn("start", F.col("before") + F.col("offset"))
+    return found.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.col("offset"))
 
 
 _ROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
