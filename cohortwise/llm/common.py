@@ -34,6 +34,19 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
+class _Table(dict):
+    """A table that answers an unknown unit with an empty buffer, to be filled once the unit's value is known."""
+
+    def __init__(self):
+        super().__init__()
+        self.open: list[str] = []
+
+    def __missing__(self, unit: str) -> bytearray:
+        buffer = self[unit] = bytearray()
+        self.open.append(unit)
+        return buffer
+
+
 class Remembered:
     """Values of text units, each computed once as long as it is remembered.
 
@@ -43,23 +56,22 @@ class Remembered:
 
     def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], most: int, longest: int = 48):
         self.compute, self.most, self.longest = compute, most, longest
-        self.known: dict[str, bytes] = {}
+        self.known = _Table()
 
-    def __call__(self, rows: list[list[str]]) -> list[list[bytes]]:
-        """The values of all units of some rows."""
-        get = self.known.get
+    def __call__(self, rows: Iterable[list[str]]) -> list[list[bytes | bytearray]]:
+        """The values of all units of some rows. Each unit is looked up once; new ones are computed together at the end."""
+        known = self.known
+        get = known.__getitem__
         out = [list(map(get, units)) for units in rows]
-        holes = [(units, values, [k for k, v in enumerate(values) if v is None]) for units, values in zip(rows, out) if None in values]
-        new = list({units[k] for units, _, places in holes for k in places})
-        if new:
-            found = dict(zip(new, self.compute(new)))
-            for units, values, places in holes:
-                for k in places:
-                    values[k] = found[units[k]]
-            self.known.update((u, v) for u, v in found.items() if len(u) <= self.longest)
-            if len(self.known) > self.most:
-                for u in list(islice(self.known, len(self.known) - self.most // 2)):
-                    del self.known[u]
+        new, known.open = known.open, []
+        for unit, value in zip(new, self.compute(new)):
+            known[unit].extend(value)  # for the rows above
+            known[unit] = value
+            if len(unit) > self.longest:
+                del known[unit]
+        if len(known) > self.most:
+            for unit in list(islice(known, len(known) - self.most // 2)):
+                del known[unit]
         return out
 
 

@@ -188,7 +188,7 @@ class Encoder:
         texts = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
         if self.v.units is None:
             return [self.search(t) for t in texts]
-        return [b"".join(values) for values in self.remembered([self.v.units(t) for t in texts])]
+        return [b"".join(values) for values in self.remembered(map(self.v.units, texts))]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 bytes of a text."""

@@ -38,7 +38,7 @@ from cohortwise.sources import io
 
 SEGMENT = 1 << 18
 #: Distinct text units whose ids one Python worker remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 #: New words that go to the library as one string.
 JOINED = 256
 SAMPLE = 64
@@ -143,9 +143,9 @@ class UnitEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        split = [None if self.ODD.search(t) else self.UNIT.findall(t) for t in texts]
-        values = iter(self.remembered([units for units in split if units is not None]))
-        return [self._ids(t).tobytes() if units is None else b"".join(next(values)) for t, units in zip(texts, split)]
+        whole = [bool(self.ODD.search(t)) for t in texts]
+        values = iter(self.remembered(self.UNIT.findall(t) for t, w in zip(texts, whole) if not w))
+        return [self._ids(t).tobytes() if w else b"".join(next(values)) for t, w in zip(texts, whole)]
 
 
 _SEGMENT = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("offset", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
@@ -191,7 +191,7 @@ def _writer(tokenizer: str, end_id: int, segment: int):
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, segment: int = SEGMENT) -> None:
     """Write the token ids of documents (doc_id, text) in ascending doc_id order, an end id after each."""
     dealt = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    dealt.mapInArrow(_writer(tokenizer, end_id, segment), _SEGMENT_DDL).write.option("compression", "zstd").parquet(path)
+    dealt.mapInArrow(_writer(tokenizer, end_id, segment), _SEGMENT_DDL).write.parquet(path)
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
