@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortwise.llm import shingle_pairs
 from cohortwise.llm.common import batch, stage, utf8
 
 WORDS, RADIUS, SEED = 3, 2, 42
@@ -230,14 +231,33 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, *
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, **how) -> DataFrame:
-    """One document of each component, that with the smallest id, with its own columns.
+def near_copies(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, th, sid) of the documents, and (sid, root, component_id) of each set of shingles.
+
+    Components are those of all pairs with a similarity of 4/5 or more. Fingerprints take no part: shared shingles bring all these pairs
+    together, and no distance of fingerprints confirms one.
+    """
+    texts = docs.select("doc_id", "text")
+    prints = shingle_pairs.with_prefix(texts.withColumn("th", F.xxhash64("text")), shingle_pairs.frequent(texts, words), words)
+    prints = stage(prints, "near-prints")
+    sets = stage(prints.groupBy("sid").agg(*[F.min(c).alias(c) for c in ("th", "doc_id", "size", "tail")]), "near-distinct")
+    shared = stage(shingle_pairs.runs(prints), "near-runs")
+    first = shingle_pairs.confirmed(shingle_pairs.to_lead(shared, sets), sets, texts, words)
+    second = shingle_pairs.confirmed(shingle_pairs.apart(shared, connected(first), sets), sets, texts, words)
+    roots = connected(first.union(second))
+    rooted = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), "doc_id")
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return prints.select("doc_id", "th", "sid"), rooted.join(least, "root").select("sid", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One document of each component of near copies, that with the smallest id, with its own columns.
 
     Of several rows with that id, or of a component without any id, one is kept.
     """
     text_hash = "_simhash_text"
-    prints = stage(with_fingerprint(docs.select("doc_id", "text"), words=words).select("doc_id", F.xxhash64("text").alias("th"), "fp"), "simhash-prints")
-    chosen = prints.join(classes(prints, radius=radius, **how), "fp").where("doc_id <=> component_id").select("root", "doc_id", "th")
+    prints, known = near_copies(docs, words)
+    chosen = prints.join(known, "sid").where("doc_id <=> component_id").select("root", "doc_id", "th")
     chosen = stage(chosen, "simhash-chosen")
     repeated = not chosen.groupBy("doc_id", "th").count().where("count > 1").isEmpty()
     keys = chosen.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("k")).select(

@@ -1,0 +1,81 @@
+import random
+import re
+
+import pytest
+
+import corpus_pipeline
+from cohortwise.llm import shingle_pairs
+from cohortwise.llm import simhash_tiles as sim
+from tests_llm_shared import sim as slow
+
+
+def shingles(text, size=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def kept_brute(rows):
+    """The smallest id of each component of pairs with a similarity of 0.8 or more; rows in order of id."""
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and (a == b or 5 * len(a & b) >= 4 * len(a | b)):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {rows[find(i)][0] for i in range(len(rows))}
+
+
+def edited(words, at, rng):
+    """words with one of a kind in place of those at the given places."""
+    return [f"new{rng.random()}" if i in at else w for i, w in enumerate(words)]
+
+
+def family(seed):
+    """Near copies of one text by edits of one to three words, copies of copies, and texts that share long passages with it."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+    texts = [base]
+    for _ in range(60):
+        texts.append(edited(rng.choice(texts[-8:]), {rng.randrange(120) for _ in range(rng.randint(1, 3))}, rng))
+    texts += [base[:k] + [f"x{rng.random()}" for _ in range(120 - k)] for k in range(60, 120, 5)]
+    return [" ".join(t) for t in texts]
+
+
+def keep(df):
+    return {r.doc_id for r in df.collect()}
+
+
+def test_near_copies_beyond_six_bits_are_found(spark, small):
+    """On given rows: the near copies that fingerprints within six bits missed."""
+    docs = spark.read.parquet(f"{small.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    kept = kept_brute(rows)
+    by_bits = {rows[g][0] for g in slow.groups([slow.slow_print(t, 5) for _, t in rows], 6)}
+    assert by_bits - kept and kept - by_bits
+    assert keep(corpus_pipeline.near_dedup(spark, docs, small)) == kept
+
+
+def test_pairs_below_the_threshold_stay_apart(spark, frame):
+    """doc_id 15 and 2837 of sf0.1 have a similarity of 0.71 and fingerprints within six bits."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id in (15, 2837, 6231, 8000)")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    for a, b in ((15, 2837), (6231, 8000)):
+        x, y = shingles(rows[a]), shingles(rows[b])
+        assert len(x & y) / len(x | y) < 0.8 and (slow.slow_print(rows[a], 5) ^ slow.slow_print(rows[b], 5)).bit_count() <= 6
+    assert keep(corpus_pipeline.near_dedup(spark, docs, "")) == set(rows)
+
+
+@pytest.mark.parametrize("frequent", [2, 4])
+def test_families_and_common_shingles(spark, frame, monkeypatch, frequent):
+    monkeypatch.setattr(shingle_pairs, "SAMPLE", 2)
+    monkeypatch.setattr(shingle_pairs, "FREQUENT", frequent)
+    texts = [t for seed in range(3) for t in family(seed)] + ["", None, " \n", "one", "One", "a b c d e", "a b c d e f"]
+    rows = list(enumerate(texts))
+    assert keep(sim.one_of_each(frame(rows).repartition(3), words=5)) == kept_brute(rows)
+    some = sorted(shingle_pairs.frequent(frame(rows).select("text"), 5).tolist())
+    assert len(some) > 0
