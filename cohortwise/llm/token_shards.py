@@ -100,18 +100,21 @@ class UnitEncoder:
     a row: white space and letters up to the next other character, or white space and all that follows up to the next white space.
     Units repeat; the library encodes each once. New units of one space or line end and letters go to it as one string, whose ids are
     dealt to the units by the bytes that each token stands for.
-    Four control characters count as white space for Python only; texts that hold one are encoded in one piece.
+    Four control characters count as white space for Python only; texts that hold one are encoded in one piece. So are, where `added`, texts
+    that hold an added token of the file: its id is then that of the token, as the library gives it. Else it is text like any other.
     """
 
     UNIT = re.compile(rf"\s*[{_LETTERS}]++(?=[\s!-@\[-`{{-~]|\Z)|\s*\S+|\s+")
     WORD = re.compile(f" [{_LETTERS}]+")
     ODD = re.compile("[\x1c-\x1f]")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; the library's own threads keep memory each
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.whole = re.compile("|".join([self.ODD.pattern, *names]))
         vocabulary = self.tokenizer.get_vocab()
         self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
         self.kind = f"<u{self.width}"
@@ -143,7 +146,7 @@ class UnitEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        whole = [bool(self.ODD.search(t)) for t in texts]
+        whole = [bool(self.whole.search(t)) for t in texts]
         values = iter(self.remembered(self.UNIT.findall(t) for t, w in zip(texts, whole) if not w))
         return [self._ids(t).tobytes() if w else b"".join(next(values)) for t, w in zip(texts, whole)]
 
@@ -152,14 +155,14 @@ _SEGMENT = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("offset",
                       ("width", pa.int32()), ("ids", pa.binary()), ("low_bits", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("samples", pa.binary())])
 _SEGMENT_DDL = ("part int, segment int, offset long, n_ids long, doc_ids array<long>, width int, ids binary, "
                 "low_bits int, low binary, high binary, samples binary")
-_ENCODERS: dict[str, UnitEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], UnitEncoder] = {}
 #: Text bytes encoded at a time.
 SLICE = 1 << 20
 
 
-def _writer(tokenizer: str, end_id: int, segment: int):
+def _writer(tokenizer: str, end_id: int, segment: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, UnitEncoder(tokenizer))
+        encoder = _ENCODERS.get((tokenizer, added)) or _ENCODERS.setdefault((tokenizer, added), UnitEncoder(tokenizer, added))
         end = np.array([end_id], encoder.kind).tobytes()
         part, number, offset = TaskContext.get().partitionId(), 0, 0
         ids, ends, arrays, total = [], [], [], 0
@@ -188,10 +191,10 @@ def _writer(tokenizer: str, end_id: int, segment: int):
     return run
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, segment: int = SEGMENT) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, segment: int = SEGMENT, added: bool = False) -> None:
     """Write the token ids of documents (doc_id, text) in ascending doc_id order, an end id after each."""
     dealt = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    dealt.mapInArrow(_writer(tokenizer, end_id, segment), _SEGMENT_DDL).write.parquet(path)
+    dealt.mapInArrow(_writer(tokenizer, end_id, segment, added), _SEGMENT_DDL).write.parquet(path)
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
@@ -240,5 +243,5 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def written_digests(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
     spark = docs.sparkSession
     path = io.fresh_path(spark, "token-shards")
-    write(docs, path, tokenizer, end_id)
+    write(docs, path, tokenizer, end_id, added=True)  # the ids of the library as loaded
     return digests(spark, path)
