@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MOST_RULES = 2000
-_TOKENS = "[^\\p{L}\\p{N}]+"
+#: What the expressions ask for beside a literal; letters beyond ASCII end a token too.
+_TOKENS = "[^a-z0-9]+"
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,7 @@ class Rule:
 
 
 def tokens_of(text: str) -> list[str]:
-    return [t for t in re.split(r"[\W_]+", text.lower()) if t]
+    return [t for t in re.split(_TOKENS, text.lower()) if t]
 
 
 def place_rule(verdict: str, name: str) -> Rule:

@@ -69,3 +69,10 @@ def test_no_python_runs(spark, small, capsys):
 def test_query_equals_brute_force(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet").collect()
     assert {tuple(r) for r in QUERIES["op8_rarest_token_rules"](spark, small).collect()} == {(p.page_id, *slow(p.url)) for p in pages}
+
+
+def test_letters_beyond_ascii_next_to_a_literal(spark):
+    found = ["http://écasino-win.example.com/", "http://x.com/éviagraé/", "http://x.com/ñpornñ/", "http://x.com/漢viagra漢"]
+    got = urls.judge(spark.createDataFrame(list(enumerate(found)), "page_id long, url string")).collect()
+    assert sorted(tuple(r) for r in got) == [(i, *slow(u)) for i, u in enumerate(found)]
+    assert {r.verdict for r in got} == {"block"}
