@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortwise.llm import (divergence_rules, language_crf, minimax_shards, quality_qda, sentencepiece_viterbi, simhash_tiles, token_shards,
-                            url_rules, warc_chunks, wu_manber)
+from cohortwise.llm import (collocations, conversation_trie, divergence_rules, language_crf, minimax_shards, pivot_topk, quality_qda, sentencepiece_viterbi,
+                            simhash_tiles, token_shards, url_rules, warc_chunks, wu_manber)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -160,3 +160,55 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op10_streaming_viterbi")
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_viterbi.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+# CRC-32 of decimal digits, bit by bit.
+_CRC32 = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+@_register("op11_zfast_conversation_trie", f"""
+WITH own AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce("text", '')}} ORDER BY turn NULLS FIRST) AS s FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, {_CRC32} % 9 AS h FROM own),
+r AS (SELECT o.conv_id, list_concat(coalesce(b.s[1:o.h], []), o.s[o.h + 1:]) AS s FROM h o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+p AS (SELECT conv_id, d, s[1:d] AS k, d = len(s) AS ended, CASE WHEN d > 0 THEN strlen(s[d].text) ELSE 0 END AS b FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM r) x),
+g AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, min(b) AS b, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), '') AS e FROM p GROUP BY k, d),
+c AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1, 2),
+f AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN c ON g.d = c.d AND g.k = c.k),
+u AS (SELECT k[1:x] AS k, x AS d, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((n - 1) * b) AS BIGINT) AS saved_tokens
+      FROM (SELECT *, unnest(range(0, d + 1)) AS x FROM f) y GROUP BY 1, 2)
+SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, u.n_leaves, u.saved_tokens, sha256(f.e) AS ends_sha256
+FROM f JOIN u ON f.d = u.d AND f.k = u.k LEFT JOIN f up ON f.d > 0 AND up.d = f.d - 1 AND up.k = f.k[1:f.d - 1]""")
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.nodes(_table(spark, sf_dir, "conversations"))
+
+
+@_register("op12_pivot_distance_topk", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.search(_table(spark, sf_dir, "embeddings")).select("query_id", "rank", "vec_id", "score")
+
+
+@_register("op13_best_first_collocations", r"""
+WITH pc AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS t FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(t, '[ 	]+'), lambda x: x <> '') AS w FROM pc),
+g AS (SELECT lang, m, array_to_string(w[p:p + m - 1], ' ') AS phrase FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM w, (SELECT unnest(range(1, 6)) AS m) x WHERE len(w) >= m) y),
+f AS (SELECT lang, phrase, m, count(*) AS a FROM g GROUP BY lang, phrase, m HAVING count(*) >= 100),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+sub AS (SELECT DISTINCT lang, array_to_string(s[i:i + j - 1], ' ') AS phrase, a FROM (SELECT lang, a, m, s, i, unnest(range(2, m)) AS j FROM
+  (SELECT lang, a, m, string_split(phrase, ' ') AS s, unnest(range(1, m)) AS i FROM f WHERE m > 2) x) y WHERE i + j - 1 <= m),
+cut AS (SELECT f.lang, f.phrase, f.a, n, k, l.a AS l, r.a AS r, CAST((CAST(1000 AS HUGEINT) * f.a * n) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1 AND NOT EXISTS (SELECT 1 FROM sub WHERE sub.lang = f.lang AND sub.phrase = f.phrase AND sub.a >= f.a)) f
+  JOIN n ON f.lang = n.lang JOIN f l ON l.lang = f.lang AND l.phrase = array_to_string(string_split(f.phrase, ' ')[1:k], ' ')
+  JOIN f r ON r.lang = f.lang AND r.phrase = array_to_string(string_split(f.phrase, ' ')[k + 1:], ' ')),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM low
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000""")
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = collocations.mine(_table(spark, sf_dir, "documents"))
+    return out.withColumn("rank", out["rank"].cast("long"))
