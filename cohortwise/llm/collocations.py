@@ -5,7 +5,9 @@ with a = f(phrase) >= LEAST; its score is the lowest floor(1000 * a * n / (l * r
 both parts. Both parts occur at least a times, so no extension of a prefix x scores above floor(1000 * n / f(x[:k])) for any k;
 the first word's count gives the lowest of these bounds.
 
-Growth: the frontier holds prefixes that were counted but not extended. Each pass over the texts extends the prefixes of the
+Words are counted first. Then the texts are written once as stretches of numbers of frequent words, which later passes read.
+
+Growth: the frontier holds prefixes that were counted but not extended. Each pass over the stretches extends the prefixes of the
 highest bounds (those whose first word is among the rarest, STEP times more frequent ones in each later pass, and all longer
 ones) by one word, and counts the parts that scores still lack. A pass ends with each language's TOP-th surviving score; prefixes
 whose bound is below it are never extended, parts of phrases that cannot reach it never counted. Growth ends when no prefix and
@@ -23,6 +25,7 @@ they occur. Texts are worked through in slices cut at spaces, so that long ones
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -40,7 +43,7 @@ STEP = 64
 #: Least and most bits of a bit table, and bits for each entry as long as they suffice.
 LEAST_BITS, MOST_BITS, PER_ENTRY = 1 << 12, 1 << 27, 16
 #: Words that a task counts at once, words it remembers, and bytes of a text it splits at once.
-FLUSH, REMEMBERED, SLICE = 1 << 19, 1 << 20, 1 << 20
+FLUSH, REMEMBERED, SLICE = 1 << 20, 1 << 20, 1 << 20
 
 _SCHEMA = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("h", pa.int64()), ("a", pa.int64()),
                      ("starts", pa.int64()), ("before_low", pa.int64()), ("before_high", pa.int64()),
@@ -63,16 +66,18 @@ def tokens(text: bytes) -> Iterator[list[bytes]]:
 
 
 class _Words(dict):
-    """Numbers of the words of one language; 0 is the end of a piece."""
+    """Numbers of the frequent words of one language; 0 is the end of a piece or any other word."""
 
-    def __init__(self, lang: str, all_words: list, hashes: list):
+    def __init__(self, lang: str, frequent: Bits | None, all_words: list):
         super().__init__({b".": 0})
-        self.lang, self.seed, self.all, self.hashes = lang, xxhash.xxh64_intdigest(lang.encode()), all_words, hashes
+        self.lang, self.seed, self.frequent, self.all = lang, xxhash.xxh64_intdigest(lang.encode()), frequent, all_words
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.all)
-        self.all.append((self.lang, word))
-        self.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
+        number = 0
+        if self.frequent is not None and self.frequent.has(xxhash.xxh64_intdigest(word, self.seed)):
+            number = len(self.all)
+            self.all.append((self.lang, word))
+        self[word] = number
         return number
 
 
@@ -115,83 +120,138 @@ class Bits:
         return found
 
 
+    def has(self, h: int) -> bool:
+        mask = int(self.mask)
+        return all(int(self.table[((h >> s) & mask) >> 6]) >> ((h >> s) & 63) & 1 for s in self.SHIFTS)
+
+
 def _holds(bits: Bits | None, h: np.ndarray) -> np.ndarray:
     return np.zeros(len(h), bool) if bits is None else bits.holds(h)
 
 
-class _Task:
-    """Counts of one task: a stream of word numbers, counted stretch by stretch."""
+def _rows(langs: list[str], m: int, phrases: list[bytes], h: np.ndarray, *counts: np.ndarray) -> pa.RecordBatch:
+    text = pa.array(phrases, pa.binary()).cast(pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(np.full(len(langs), m, np.int32)), text, pa.array(h.view(np.int64)),
+                                       *[pa.array(c.astype(np.int64)) for c in counts]], schema=_SCHEMA)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    for b in batches:
+        for lang, text in zip(b.column("lang").to_pylist(), utf8(b.column("text"))):
+            if text:
+                yield "und" if lang is None else lang, text
+
+
+def count_words(texts: Iterator[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Words with their counts, and per language the empty phrase with the count of all words."""
+    counts: dict[str, Counter] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for lang, count in counts.items():
+            count.pop(b".", None)
+            seed = xxhash.xxh64_intdigest(lang.encode())
+            words = [*count, b""]
+            n = np.array([*count.values(), sum(count.values())], np.int64)
+            h = np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
+            zero = np.zeros(len(n), np.int64)
+            yield _rows([lang] * (len(n) - 1), 1, words[:-1], h[:-1], n[:-1], *[zero[:-1]] * 6)
+            yield _rows([lang], 0, words[-1:], h[-1:], n[-1:], *[zero[-1:]] * 6)
+        counts.clear()
+
+    for lang, text in texts:
+        count = counts.setdefault(lang, Counter())
+        for part in tokens(text):
+            count.update(part)
+            if sum(map(len, counts.values())) > REMEMBERED:
+                yield from out()
+                count = counts.setdefault(lang, Counter())
+    yield from out()
+
+
+class Encoder:
+    """Texts as stretches of numbers of frequent words. All other words end a stretch's runs as a piece's end does:
+    they occur too rarely to belong to a candidate, or to be the same word next to all occurrences of one."""
 
-    def __init__(self, frequent: Bits | None, grow: Bits | None, parts: Bits | None, longest: int, first: bool):
-        self.frequent, self.grow, self.parts, self.longest, self.first = frequent, grow, parts, longest, first
-        self.stream: list[np.ndarray] = [np.zeros(1, np.int64)]
-        self.held, self.start = 1, 1
+    def __init__(self, frequent: Bits | None, longest: int):
+        self.frequent, self.longest = frequent, longest
+        self.stream: list[np.ndarray] = [np.zeros(1, np.int32)]
+        self.held = 1
         self.forget()
 
     def forget(self) -> None:
-        self.words, self.hashes, self.of_lang = [("", b".")], [0], {}
+        self.words, self.of_lang = [("", b".")], {}
 
     def add(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         if lang not in self.of_lang:
-            self.of_lang[lang] = _Words(lang, self.words, self.hashes)
+            self.of_lang[lang] = _Words(lang, self.frequent, self.words)
         number = self.of_lang[lang].__getitem__
         for part in tokens(text):
-            self.stream.append(np.fromiter(map(number, part), np.int64, len(part)))
+            self.stream.append(np.fromiter(map(number, part), np.int32, len(part)))
             self.held += len(part)
             if self.held > FLUSH:
                 yield from self.flush(False)
-        self.stream.append(np.zeros(1, np.int64))
+        self.stream.append(np.zeros(1, np.int32))
         self.held += 1
-        if self.held > FLUSH or len(self.words) > REMEMBERED:
+        if self.held > FLUSH or sum(map(len, self.of_lang.values())) > REMEMBERED:
             yield from self.flush(True)
 
     def flush(self, whole: bool) -> Iterator[pa.RecordBatch]:
-        """Counts the phrases that start in the stretch at hand; inside a text its end waits for the words that follow."""
+        """A stretch whose phrases may start anywhere but in its first word and behind `upto`, where only what follows them stands."""
         ids = np.concatenate(self.stream)
-        end = len(ids) if whole else len(ids) - self.longest - 1
-        if end > self.start:
-            yield from self._count(ids, self.start, end)
-            ids = ids[end - 1:]
-            self.start = 1
+        for _ in range(2):  # words alone between two ends go, then ends next to ends
+            off = np.zeros(len(ids), bool)
+            off[1:-1] = (ids[:-2] == 0) & (ids[2:] == 0) & (ids[1:-1] != 0)
+            ids = ids[~off]
+            keep = np.ones(len(ids), bool)
+            keep[1:] = (ids[1:] != 0) | (ids[:-1] != 0)
+            ids = ids[keep]
+        upto = len(ids) if whole else len(ids) - self.longest - 1
+        if upto > 1:
+            used, codes = np.unique(ids, return_inverse=True)
+            if used[0] != 0:
+                used, codes = np.concatenate([[0], used]), codes + 1
+            words = [self.words[i] for i in used.tolist()]
+            codes = codes.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array([upto], pa.int32()), pa.array([[w[0] for w in words]]), pa.array([[w[1] for w in words]], pa.list_(pa.binary())),
+                                              pa.array([codes.tobytes()], pa.binary()), pa.array([codes.itemsize], pa.int32())], names=["upto", "langs", "words", "ids", "width"])
+            ids = ids[upto - 1:]
         if whole:
             ids = ids[-1:]
-            if len(self.words) > REMEMBERED:
+            if sum(map(len, self.of_lang.values())) > REMEMBERED:
                 self.forget()
         self.stream, self.held = [ids], len(ids)
 
-    def _count(self, ids: np.ndarray, start: int, end: int) -> Iterator[pa.RecordBatch]:
-        hashes = np.array(self.hashes, np.uint64)
-        if self.first:
-            count = np.bincount(ids[start:end], minlength=len(hashes))
-            count[0] = 0
-            seen = np.flatnonzero(count)
-            langs: dict[str, int] = {}
-            for i in seen.tolist():
-                langs[self.words[i][0]] = langs.get(self.words[i][0], 0) + int(count[i])
-            zero = np.zeros(len(seen), np.int64)
-            yield self._rows([self.words[i][0] for i in seen.tolist()], 1, [self.words[i][1] for i in seen.tolist()],
-                             hashes[seen], count[seen], *[zero] * 6)
-            zero = np.zeros(len(langs), np.int64)
-            yield self._rows(list(langs), 0, [b""] * len(langs), zero.view(np.uint64), np.array(list(langs.values()), np.int64), *[zero] * 6)
-            return
-        common = _holds(self.frequent, hashes)
-        common[0] = False
-        padded = np.concatenate([ids, np.zeros(self.longest + 1, np.int64)])
-        able, word = common[padded], hashes[padded]
-        at = start + np.flatnonzero(able[start:end])
+
+_STRETCH = "upto int, langs array<string>, words array<binary>, ids binary, width int"
+
+
+class Grower:
+    """Counts the phrases of stretches that extend chosen prefixes or are themselves asked for."""
+
+    def __init__(self, grow: Bits | None, parts: Bits | None, longest: int):
+        self.grow, self.parts, self.longest, self.seeds = grow, parts, longest, {}
+
+    def count(self, upto: int, langs: list[str], words: list[bytes], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for lang in set(langs):
+            self.seeds.setdefault(lang, xxhash.xxh64_intdigest(lang.encode()))
+        hashes = np.array([xxhash.xxh64_intdigest(w, self.seeds[lang]) for lang, w in zip(langs, words)], np.uint64)
+        ids = np.concatenate([ids.astype(np.int64), np.zeros(self.longest + 1, np.int64)])
+        able, word = ids != 0, hashes[ids]
+        at = 1 + np.flatnonzero(able[1:upto])
         h = word[at]
         for m in range(2, self.longest + 1):
-            grown = _holds(self.grow, h)
             on = able[at + m - 1]
-            at, h, grown = at[on], h[on], grown[on]
+            at, h = at[on], h[on]
             if not len(at):
                 return
+            grown = _holds(self.grow, h)
             h = _extend(h, word[at + m - 1])
             chosen = grown | _holds(self.parts, h)
             if chosen.any():
-                yield self._phrases(padded, word, at[chosen], h[chosen], m)
+                yield self._phrases(langs, words, ids, word, at[chosen], h[chosen], m)
 
-    def _phrases(self, ids: np.ndarray, word: np.ndarray, at: np.ndarray, h: np.ndarray, m: int) -> pa.RecordBatch:
+    @staticmethod
+    def _phrases(langs: list[str], words: list[bytes], ids: np.ndarray, word: np.ndarray, at: np.ndarray, h: np.ndarray, m: int) -> pa.RecordBatch:
         # numbers of words have 21 bits at most, as have those of the groups of three
         code = ids[at]
         for j in range(1, m):
@@ -203,38 +263,47 @@ class _Task:
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
         before, after = ids[at - 1], ids[at + m]
         hash_before, hash_after = word[at - 1].view(np.int64), word[at + m].view(np.int64)
-        names = [self.words[i][0] for i in ids[at[first]].tolist()]
-        phrases = [b" ".join([self.words[i][1] for i in row]) for row in ids[at[first][:, None] + np.arange(m)].tolist()]
-        return self._rows(names, m, phrases, h[first], np.diff(np.append(first, len(at))),
-                          np.add.reduceat((before == 0).astype(np.int64), first), np.minimum.reduceat(hash_before, first), np.maximum.reduceat(hash_before, first),
-                          np.add.reduceat((after == 0).astype(np.int64), first), np.minimum.reduceat(hash_after, first), np.maximum.reduceat(hash_after, first))
+        told = ids[at[first][:, None] + np.arange(m)].tolist()
+        return _rows([langs[row[0]] for row in told], m, [b" ".join([words[i] for i in row]) for row in told], h[first], np.diff(np.append(first, len(at))),
+                     np.add.reduceat((before == 0).astype(np.int64), first), np.minimum.reduceat(hash_before, first), np.maximum.reduceat(hash_before, first),
+                     np.add.reduceat((after == 0).astype(np.int64), first), np.minimum.reduceat(hash_after, first), np.maximum.reduceat(hash_after, first))
 
-    @staticmethod
-    def _rows(langs: list[str], m: int, phrases: list[bytes], h: np.ndarray, *counts: np.ndarray) -> pa.RecordBatch:
-        text = pa.array(phrases, pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(np.full(len(langs), m, np.int32)), text, pa.array(h.view(np.int64)),
-                                           *[pa.array(c.astype(np.int64)) for c in counts]], schema=_SCHEMA)
+
+def _summed(rows: DataFrame, least: int) -> DataFrame:
+    sums = rows.groupBy("lang", "phrase").agg(
+        F.max("words").alias("words"), F.max("h").alias("h"), F.sum("a").alias("a"), F.sum("starts").alias("starts"),
+        F.min("before_low").alias("before_low"), F.max("before_high").alias("before_high"), F.sum("ends").alias("ends"),
+        F.min("after_low").alias("after_low"), F.max("after_high").alias("after_high"))
+    return sums.where((F.col("a") >= least) | (F.col("words") == 0))
 
 
-def _pass(docs: DataFrame, name: str, least: int, longest: int, frequent: Bits | None = None, grow: Bits | None = None,
-          parts: Bits | None = None) -> DataFrame:
-    """One pass over the texts: the phrases asked for that occur often enough. Without tables: words, and per language the empty phrase with all words."""
-    first = frequent is None
-    sent = docs.sparkSession.sparkContext.broadcast((frequent, grow, parts))  # three tables of MOST_BITS at most
+def _encoded(texts: DataFrame, frequent: Bits | None, longest: int) -> DataFrame:
+    """The texts as stretches, written once: what later passes read."""
+    sent = texts.sparkSession.sparkContext.broadcast(frequent)  # a table of MOST_BITS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = _Task(*sent.value, longest, first)
+        encoder = Encoder(sent.value, longest)
+        for lang, text in _texts(batches):
+            yield from encoder.add(lang, text)
+        yield from encoder.flush(True)
+
+    out = stage(texts.mapInArrow(run, _STRETCH), "phrase-stretches")
+    sent.destroy()
+    return out
+
+
+def _counted(stretches: DataFrame, least: int, longest: int, grow: Bits | None, parts: Bits | None) -> DataFrame:
+    """One pass over the stretches: the phrases asked for that occur often enough."""
+    sent = stretches.sparkSession.sparkContext.broadcast((grow, parts))  # two tables of MOST_BITS at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grower = Grower(*sent.value, longest)
         for b in batches:
-            for lang, text in zip(b.column("lang").to_pylist(), utf8(b.column("text"))):
-                if text:
-                    yield from task.add("und" if lang is None else lang, text)
-        yield from task.flush(True)
+            for i in range(b.num_rows):
+                upto, langs, words, ids, width = (b.column(c)[i].as_py() for c in ("upto", "langs", "words", "ids", "width"))
+                yield from grower.count(upto, langs, words, np.frombuffer(ids, np.uint16 if width == 2 else np.uint32))
 
-    counted = docs.select("lang", "text").mapInArrow(run, _SPARK).groupBy("lang", "phrase").agg(
-        F.max("words").alias("words"), F.max("h").alias("h"), F.sum("a").alias("a"), F.sum("starts").alias("starts"),
-        F.min("before_low").alias("before_low"), F.max("before_high").alias("before_high"), F.sum("ends").alias("ends"),
-        F.min("after_low").alias("after_low"), F.max("after_high").alias("after_high"))
-    out = stage(counted.where((F.col("a") >= least) | (F.col("words") == 0)), name)
+    out = stage(_summed(stretches.mapInArrow(run, _SPARK), least), "phrase-counts")
     sent.destroy()
     return out
 
@@ -270,11 +339,12 @@ def _survives(longest: int) -> Column:
 
 def mine(docs: DataFrame, longest: int = WORDS, least: int = LEAST, top: int = TOP, step: int = STEP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's `top` best phrases."""
-    first = _pass(docs, "phrase-words", least, longest)
+    texts = docs.select("lang", "text")
+    first = stage(_summed(texts.mapInArrow(lambda batches: count_words(_texts(batches)), _SPARK), least), "phrase-words")
     totals = first.where("words = 0").select("lang", F.col("a").alias("n"))
     words = first.where((F.col("words") == 1) & (F.col("a") >= least))
     known, grown = words, None
-    frequent = Bits.of(words)
+    stretches = _encoded(texts, Bits.of(words), longest)
     lead = words.select("lang", F.col("phrase").alias("lead"), F.col("a").alias("f"))
     reach = least
     ranked = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
@@ -298,7 +368,7 @@ def mine(docs: DataFrame, longest: int = WORDS, least: int = LEAST, top: int = T
         extend, parts = Bits.of(now), Bits.of(lacking)
         if extend is None and parts is None:
             continue
-        more = _pass(docs, "phrase-counts", least, longest, frequent, extend, parts)
+        more = _counted(stretches, least, longest, extend, parts)
         known = stage(known.unionByName(more).dropDuplicates(["lang", "phrase"]), "phrase-known")
         now = now.select("lang", "phrase")
         grown = now if grown is None else grown.unionByName(now)

@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from cohortwise.llm import collocations
 
 
@@ -80,14 +82,8 @@ def test_long_texts_in_small_slices(spark, frame, monkeypatch):
     rows = made(random.Random(7), 30, 40)
     rows += [(1000, "alpha beta gamma delta epsilon " * 300, "en"), (1001, "x" * 5000 + " alpha beta", "en")]
     pairs = [(r[2], r[1]) for r in rows]
-    assert len(collocations._SCHEMA) == 11
-    task = collocations._Task(None, None, None, 5, True)
     counts = Counter()
-    for lang, text in pairs:
-        for b in task.add("und" if lang is None else lang, text.encode()):
-            for r in b.to_pylist():
-                counts[r["lang"], r["phrase"]] += r["a"]
-    for b in task.flush(True):
+    for b in collocations.count_words(("und" if lang is None else lang, text.encode()) for lang, text in pairs):
         for r in b.to_pylist():
             counts[r["lang"], r["phrase"]] += r["a"]
     assert counts["en", "alpha"] == 301 and counts["en", "x" * 5000] == 1
@@ -99,15 +95,17 @@ def test_stretches_join_over_flushes(monkeypatch):
     """A long piece counted in stretches has the neighbours and counts of the whole."""
     monkeypatch.setattr(collocations, "SLICE", 40)
     text = (b"a b c d e f g " * 200).strip()
-    every = collocations.Bits(~__import__("numpy").zeros(64, "uint64"))
+    every = collocations.Bits(~np.zeros(64, np.uint64))
 
     def counted(flush):
         monkeypatch.setattr(collocations, "FLUSH", flush)
-        task, out = collocations._Task(every, every, None, 5, False), {}
-        for b in [*task.add("en", text), *task.flush(True)]:
-            for r in b.to_pylist():
-                old = out.get(r["phrase"])
-                out[r["phrase"]] = (r["a"], r["starts"], r["ends"]) if old is None else (old[0] + r["a"], old[1] + r["starts"], old[2] + r["ends"])
+        encoder, grower, out = collocations.Encoder(every, 5), collocations.Grower(every, None, 5), {}
+        for row in [*encoder.add("en", text), *encoder.flush(True)]:
+            r = {k: v[0] for k, v in row.to_pydict().items()}
+            for b in grower.count(r["upto"], r["langs"], r["words"], np.frombuffer(r["ids"], np.uint16)):
+                for g in b.to_pylist():
+                    old = out.get(g["phrase"], (0, 0, 0))
+                    out[g["phrase"]] = (old[0] + g["a"], old[1] + g["starts"], old[2] + g["ends"])
         return out
     assert counted(20) == counted(10 ** 6)
 
