@@ -25,14 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortwise.llm import shingle_pairs
 from cohortwise.llm.common import batch, stage, utf8
 
 WORDS, RADIUS, SEED = 3, 2, 42
 BLOCKS = 4
 TILE, GROUP = 1024, 8192
-#: Runs of a key up to this many fingerprints are compared without tiles.
-SHORT_RUN = 64
+#: Runs of a key up to this many fingerprints share tiles with others, of PACK_TILE fingerprints, packed up to PACK together.
+SHORT_RUN, PACK, PACK_TILE = 64, 1024, 64
 
 
 def fingerprint(text: bytes | None, words: int = WORDS) -> int:
@@ -62,15 +61,17 @@ def with_fingerprint(docs: DataFrame, text: str = "text", words: int = WORDS, in
     return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(into, T.LongType())]))
 
 
-def tile_links(prints: np.ndarray, radius: int = RADIUS, tile: int = TILE) -> tuple[np.ndarray, np.ndarray]:
+def tile_links(prints: np.ndarray, radius: int = RADIUS, tile: int = TILE, run: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """A forest with the components of all links among the given unsigned fingerprints, as two arrays.
 
-    The forest keeps connection, and has fewer rows than there are fingerprints whatever the number of links.
+    The forest keeps connection, and has fewer rows than there are fingerprints whatever the number of links. Given the run of each
+    (distinct) fingerprint, only links inside a run count.
     """
-    prints = np.unique(prints)
+    prints = np.unique(prints) if run is None else prints
     counts = np.bitwise_count(prints)
     order = np.argsort(counts, kind="stable")
     prints, counts = prints[order], counts[order]
+    run = None if run is None else run[order]
     n = len(prints)
     roots = np.arange(n)
     for a in range(0, n, tile):
@@ -79,6 +80,8 @@ def tile_links(prints: np.ndarray, radius: int = RADIUS, tile: int = TILE) -> tu
             if int(counts[b]) - int(counts[min(a + tile, n) - 1]) > radius:
                 break
             near = np.bitwise_count(left ^ prints[None, b:b + tile]) <= radius
+            if run is not None:
+                near &= run[a:a + tile, None] == run[None, b:b + tile]
             i, j = np.nonzero(near)
             i, j = i + a, j + b
             _join(roots, i[i < j], j[i < j])
@@ -105,27 +108,18 @@ def _join(roots: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _short_runs(run: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same for many short runs of one key each: every fingerprint against the next, the second next and so on inside its run."""
-    roots, at = np.arange(len(prints)), np.arange(len(prints))
-    step = 1
-    while len(at):
-        at = at[at + step < len(prints)]
-        at = at[run[at] == run[at + step]]
-        near = at[np.bitwise_count(prints[at] ^ prints[at + step]) <= radius]
-        _join(roots, near, near + step)
-        step += 1
-    child = np.flatnonzero(roots != np.arange(len(prints)))
-    return prints[child], prints[roots[child]]
-
-
 def _compare(keys: list[str], radius: int, tile: int):
-    """Links inside the runs of equal keys of a sorted partition. Short runs are worked through together, long ones in tiles."""
+    """Links inside the runs of equal keys of a sorted partition, by tiles: long runs have their own, short ones share them."""
     def of(prints: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         sizes = ends - starts
         long_ = sizes > SHORT_RUN
-        found = [_short_runs(np.repeat(np.arange(len(sizes)), np.where(long_ | (sizes < 2), 0, sizes)),
-                             prints[np.repeat(~long_ & (sizes > 1), sizes)], radius)]
+        packed = np.repeat(~long_ & (sizes > 1), sizes)
+        short, of_run = prints[packed], np.repeat(np.arange(len(sizes)), np.where(long_ | (sizes < 2), 0, sizes))
+        # a pack ends where a run ends
+        ends_of = np.flatnonzero(np.append(of_run[1:] != of_run[:-1], True)) + 1 if len(short) else np.empty(0, int)
+        cuts = np.unique(ends_of[np.maximum(np.searchsorted(ends_of, np.arange(PACK, len(short) + PACK, PACK), "right") - 1, 0)]) if len(short) else []
+        found = [(np.empty(0, np.uint64),) * 2]
+        found += [tile_links(short[a:b], radius, PACK_TILE, of_run[a:b]) for a, b in zip([0, *cuts], cuts)]
         found += [tile_links(prints[s:e], radius, tile) for s, e in zip(starts[long_].tolist(), ends[long_].tolist())]
         a, b = (np.concatenate(x) for x in zip(*found))
         if len(a):
@@ -231,33 +225,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, *
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_copies(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, th, sid) of the documents, and (sid, root, component_id) of each set of shingles.
-
-    Components are those of all pairs with a similarity of 4/5 or more. Fingerprints take no part: shared shingles bring all these pairs
-    together, and no distance of fingerprints confirms one.
-    """
-    texts = docs.select("doc_id", "text")
-    prints = shingle_pairs.with_prefix(texts.withColumn("th", F.xxhash64("text")), shingle_pairs.frequent(texts, words), words)
-    prints = stage(prints, "near-prints")
-    sets = stage(prints.groupBy("sid").agg(*[F.min(c).alias(c) for c in ("th", "doc_id", "size", "tail")]), "near-distinct")
-    shared = stage(shingle_pairs.runs(prints), "near-runs")
-    first = shingle_pairs.confirmed(shingle_pairs.to_lead(shared, sets), sets, texts, words)
-    second = shingle_pairs.confirmed(shingle_pairs.apart(shared, connected(first), sets), sets, texts, words)
-    roots = connected(first.union(second))
-    rooted = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), "doc_id")
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return prints.select("doc_id", "th", "sid"), rooted.join(least, "root").select("sid", "root", "component_id")
-
-
-def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """One document of each component of near copies, that with the smallest id, with its own columns.
+def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, **how) -> DataFrame:
+    """One document of each component of near-duplicates, that with the smallest id, with its own columns.
 
     Of several rows with that id, or of a component without any id, one is kept.
     """
     text_hash = "_simhash_text"
-    prints, known = near_copies(docs, words)
-    chosen = prints.join(known, "sid").where("doc_id <=> component_id").select("root", "doc_id", "th")
+    prints = with_fingerprint(docs.select("doc_id", "text"), words=words)
+    prints = stage(prints.select("doc_id", F.xxhash64("text").alias("th"), "fp"), "simhash-prints")
+    chosen = prints.join(classes(prints, radius=radius, **how), "fp").where("doc_id <=> component_id").select("root", "doc_id", "th")
     chosen = stage(chosen, "simhash-chosen")
     repeated = not chosen.groupBy("doc_id", "th").count().where("count > 1").isEmpty()
     keys = chosen.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("k")).select(

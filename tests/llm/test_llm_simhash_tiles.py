@@ -1,7 +1,9 @@
 import random
+from collections import Counter
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -70,6 +72,40 @@ def test_tiles_keep_components(tile):
     assert [find(i) for i in range(len(prints))] == groups(prints)
 
 
+def test_short_runs_share_tiles(monkeypatch):
+    """Many short runs and some long ones: links stay inside their runs, and every pair of a run comes through tiles."""
+    rng, keys, prints = random.Random(4), [], []
+    for k in range(400):
+        for p in sorted(set(family(k, rng.choice([1, 2, 3, 9, 70])))):
+            keys.append(k)
+            prints.append(p)
+    tiled, of = [], sim.tile_links
+
+    def counted(p, radius, tile, run=None):
+        tiled.append(len(p))
+        return of(p, radius, tile, run)
+    monkeypatch.setattr(sim, "tile_links", counted)
+    table = pa.RecordBatch.from_pydict({"k": keys, "fp": np.array(prints, np.uint64).view(np.int64)})
+    found = set()
+    for b in sim._compare(["k"], 2, 16)(iter([table.slice(0, 1000), table.slice(1000)])):
+        found |= {frozenset(x) for x in zip(b.column("a").to_numpy().view(np.uint64).tolist(), b.column("b").to_numpy().view(np.uint64).tolist())}
+    in_runs = [n for n in Counter(keys).values() if n > 1]
+    assert sum(tiled) >= sum(in_runs) and max(tiled) <= sim.PACK
+    for k in set(keys):
+        mine = [p for x, p in zip(keys, prints) if x == k]
+        root = {p: p for p in mine}
+
+        def find(p):
+            while root[p] != p:
+                p = root[p]
+            return p
+        for link in found:
+            if link <= set(mine):
+                a, b = link
+                root[find(a)] = find(b)
+        assert len({find(p) for p in mine}) == len(set(groups(mine)))
+
+
 @pytest.mark.parametrize("how", [{}, {"group": 8, "tile": 4}, {"blocks": 8, "group": 30}, {"radius": 6, "blocks": 8}])
 def test_components_of_fingerprints(spark, how):
     prints = sorted({*family(5, 200), *family(6, 80, flips=1), *(random.Random(7).getrandbits(64) for _ in range(100)), 0, 1})

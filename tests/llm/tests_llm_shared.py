@@ -11,4 +11,4 @@ def counts_brute(rows):
 
 def print_groups(rows):
     """The smallest id of each near-duplicate component; rows in order of id."""
-    return {rows[g][0] for g in sim.groups([sim.slow_print(t, 5) for _, t in rows], 6)}
+    return {rows[g][0] for g in sim.groups([sim.slow_print(t, 3) for _, t in rows], 2)}
