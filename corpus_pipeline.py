@@ -18,8 +18,8 @@ from cohortwise.llm.common import stage
 
 #: Least mean marginal of the predicted language: below it, no language has half of the words' weight.
 LEAST_LANGUAGE_SCORE = 0.5
-#: Near-duplicates have a Jaccard similarity of 0.8 or more of their sets of five-word shingles.
-SHINGLE = 5
+#: Near-duplicates have fingerprints of three-word shingles that differ in at most two bits.
+SHINGLE, RADIUS = 3, 2
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash_tiles.one_of_each(docs, words=SHINGLE)
+    return simhash_tiles.one_of_each(docs, SHINGLE, RADIUS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
