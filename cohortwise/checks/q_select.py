@@ -11,6 +11,7 @@ from cohortwise.checks.sql_parts import complete_months, dt
 from cohortwise.functions import clean, dates, text
 from cohortwise.operators import joins, reshape, select
 from cohortwise.plans import diagnoses, pathway, reports, tables, vocab
+from cohortwise.sources import io
 from cohortwise.sources.fixtures import Source
 
 
@@ -67,6 +68,13 @@ def recent_transactions(spark, path):
     return select.recent_headers(src(spark, path).fx("fx_invite"), "2025-04-01", ["SubmittedFile", "ReceivedDate", "TransactionId", "UserEmail"])
 
 
+@query("recent_transactions_by_month", """
+SELECT DISTINCT SubmittedFile, ReceivedDate, TransactionId, UserEmail FROM fx_invite WHERE ReceivedDate >= DATE '2025-04-10'""")
+def recent_transactions_by_month(spark, path):
+    snapshot = io.save_by_month(src(spark, path).fx("fx_invite"), io.fresh_path(spark, "invite_by_month"))
+    return select.recent_from_months(snapshot, "2025-04-10", ["SubmittedFile", "ReceivedDate", "TransactionId", "UserEmail"])
+
+
 @query("first_per_key", """
 SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""")
 def first_per_key(spark, path):
@@ -173,17 +181,21 @@ _demographics("rurality_category", "rurality_code, rurality", "rurality_code", "
 
 
 @query("factor_levels", """
-SELECT c.*, f.lang_rank FROM (SELECT ParticipantID, marital, ethnic_group, CASE ethnic_group WHEN 'Asian or Asian British' THEN 1 WHEN 'Black or Black British' THEN 2 WHEN 'Mixed' THEN 3
+SELECT c.*, f.lang_rank, g.language, g.language_ord FROM (SELECT ParticipantID, marital, ethnic_group, CASE ethnic_group WHEN 'Asian or Asian British' THEN 1 WHEN 'Black or Black British' THEN 2 WHEN 'Mixed' THEN 3
  WHEN 'Not stated' THEN 4 WHEN 'Other Ethnic Group' THEN 5 WHEN 'White' THEN 6 ELSE 7 END AS ethnic_ord, Ethnicity AS raw FROM cl_demographics) c
-JOIN (SELECT Ethnicity AS raw2, CAST(rank() OVER (ORDER BY count(*) DESC) AS INTEGER) AS lang_rank FROM cl_demographics GROUP BY 1) f ON c.raw IS NOT DISTINCT FROM f.raw2""")
+JOIN (SELECT Ethnicity AS raw2, CAST(rank() OVER (ORDER BY count(*) DESC) AS INTEGER) AS lang_rank FROM cl_demographics GROUP BY 1) f ON c.raw IS NOT DISTINCT FROM f.raw2
+JOIN (SELECT ParticipantID, CSURowNumber, coalesce(d.Language, 'Not known') AS language, language_ord FROM cl_demographics d JOIN (SELECT Language, CAST(row_number() OVER (ORDER BY Language IS NULL, count(*) DESC, Language) AS INTEGER) AS language_ord
+ FROM cl_demographics GROUP BY 1) o ON d.Language IS NOT DISTINCT FROM o.Language) g ON c.ParticipantID = g.ParticipantID""")
 def factor_levels(spark, path):
     d = views.cohort(spark, path).demographics
-    # frequency order of the raw level, ranked over the few levels, not the rows
+    # the raw level ranked as a value of its own, equal counts share a rank
     freq = d.groupBy("Ethnicity").agg(F.count(F.lit(1)).alias("n"))
-    ranked = freq.withColumn("lang_rank", F.rank().over(Window.orderBy(F.desc("n")))).drop("n")
+    line = freq.agg(F.array_sort(F.collect_list(-F.col("n"))).alias("line")).select("line").scalar()
+    ranked = freq.withColumn("lang_rank", F.array_position(line, -F.col("n")).cast("int")).drop("n")
+    d = tables.order_by_frequency(d, "Language", "language_ord", "Not known")
     return joins.null_safe(d, ranked, ["Ethnicity"], "inner").select(
-        "ParticipantID", F.col("marital_status").alias("marital"), "ethnic_group",
-        clean.level_order("ethnic_group", vocab.ETHNIC_GROUP).alias("ethnic_ord"), F.col("Ethnicity").alias("raw"), "lang_rank")
+        "ParticipantID", F.col("marital_status").alias("marital"), "ethnic_group", clean.level_order("ethnic_group", vocab.ETHNIC_GROUP).alias("ethnic_ord"),
+        F.col("Ethnicity").alias("raw"), "lang_rank", F.col("Language").alias("language"), "language_ord")
 
 
 def _check(name, sql, *cols):

@@ -185,10 +185,53 @@ def registry_scan(spark, path):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-@query("template_order", """
-SELECT metric_id, min(ord) AS metric_order, sum(numerator) AS numerator FROM (SELECT metric_id, numerator,
- CASE metric_id WHEN '1a' THEN 1 WHEN '1c' THEN 2 WHEN '2' THEN 4 WHEN '3a' THEN 5 WHEN '3b' THEN 6 ELSE 99 END AS ord FROM rows_h) GROUP BY 1""")
+# Order of the metrics in reports, as the twin states it.
+ORDERED_IDS = ("1a 1c 1b 2 3a 3b 3c 3d 4a 4b 5a 5b 5d 5e 5f 5g 5h 6a 6b 6c 6d 6e 7 7a 7b 7c 7d 7e 7f 7g 7h 7i 7j 7k "
+               "7l 7m 7n 7o 7p 7q 7r 7s 7t 7u 8b 8a 9 10 11 12 13 14").split()
+
+
+@query("template_order", f"""
+SELECT metric_id, min(coalesce(list_position([{", ".join(f"'{i}'" for i in ORDERED_IDS)}], metric_id), {len(ORDERED_IDS) + 1})) AS metric_order, sum(numerator) AS numerator
+FROM rows_h GROUP BY 1""")
 def template_order(spark, path):
     rows = reports.harmonise_ids(Source(spark, path).fx("fx_metric_rows"))
-    order = F.least(F.when(F.col("metric_id").isin("1a", "1c", "2", "3a", "3b"), reports._metric_order()).otherwise(99), F.lit(99))
-    return rows.withColumn("o", order).groupBy("metric_id").agg(F.min("o").alias("metric_order"), F.sum("numerator").alias("numerator"))
+    return rows.withColumn("o", reports._metric_order()).groupBy("metric_id").agg(F.min("o").alias("metric_order"), F.sum("numerator").alias("numerator"))
+
+
+# Lines that cannot be read, and rows that can but fail a check.
+BROKEN = "metric_id IN ('1c', '5b') AND month(month) = 5"
+ZERO = "metric_id = '3a' AND month(month) = 7"
+CHECKED_IDS = "('1a', '1c', '2', '3a', '3b', '3c', '3d', '4b', '5a', '5b', '5d', '5e', '7', '8a', '8b')"
+
+
+@query("submitted_row_checks", f"""
+SELECT metric_id, dq_metric_id, dq_numerator_na, dq_numerator_zero, dq_broken, NOT dq_metric_id OR dq_numerator_na OR dq_numerator_zero OR dq_broken AS dq_problem, count(*) AS n FROM (
+ SELECT metric_id, metric_id IN {CHECKED_IDS} AS dq_metric_id, CASE WHEN {BROKEN} THEN true WHEN {ZERO} THEN false ELSE numerator IS NULL END AS dq_numerator_na,
+  {ZERO} AS dq_numerator_zero, {BROKEN} AS dq_broken FROM fx_metric_rows) GROUP BY ALL""")
+def submitted_row_checks(spark, path):
+    out = io.fresh_path(spark, "submitted")
+    told = F.when(F.expr(BROKEN), "about ten").when(F.expr(ZERO), "0").otherwise(F.coalesce(F.col("numerator").cast("string"), F.lit("")))
+    rows = Source(spark, path).fx("fx_metric_rows").select(F.col("project"), "metric_id", F.col("month").cast("string").alias("month"), told.alias("numerator"))
+    io.write_csv(rows, out)
+    back = io.read_checked(spark, out, io.text_schema(["project", "metric_id", "month", "numerator"], {"numerator": T.DoubleType()}))
+    ids = [i.strip(" '") for i in CHECKED_IDS.strip("()").split(",")]
+    return io.row_flags(back, ids, "broken_row").groupBy(
+        "metric_id", "dq_metric_id", "dq_numerator_na", "dq_numerator_zero", "dq_broken", "dq_problem").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("file_listing", f"""
+SELECT folder_file, any_value(ccg_code) AS ccg_code, any_value(file_date) AS file_date, bool_and(coalesce(ccg_code IN (SELECT project_code FROM fx_projects), FALSE)
+  AND coalesce(file_date BETWEEN DATE '2019-04-01' AND DATE '2024-03-01', FALSE) AND folder_file NOT IN ('Working.xlsx', 'ProjCode_Month_Year.xlsx') AND folder_file NOT LIKE '%~%'
+  AND NOT regexp_matches(folder_file, 'archive|Archive') AND regexp_matches(folder_file, '.*/.*_.*_\\d{{4}}\\.xlsx')) AS dq_flag FROM ({FILE_PARTS}) GROUP BY folder_file""")
+def file_listing(spark, path):
+    """Files written from the given rows, found again by listing their folders."""
+    s, out = Source(spark, path), io.fresh_path(spark, "inbox")
+    named = s.fx("fx_files").select("page_id", F.coalesce(F.nullif(F.regexp_extract("folder_file", "^(.*)/", 1), F.lit("")), F.lit(".")).alias("folder"),
+                                    F.regexp_extract("folder_file", "([^/]+)$", 1).alias("file"))
+    named.repartition("folder", "file").write.partitionBy("folder", "file").csv(out)
+    part = lambda c: F.url_decode(F.regexp_replace(F.regexp_extract("path", f"/{c}=([^/]+)/", 1), r"\+", "%2B"))
+    # listed paths escape what the folders' names escaped
+    listed = io.list_files(spark, out).select(F.url_decode(F.regexp_replace("path", r"\+", "%2B")).alias("path"))
+    found = listed.select(F.when(part("folder") == ".", part("file")).otherwise(F.concat(part("folder"), F.lit("/"), part("file"))).alias("folder_file")).distinct()
+    flagged = io.file_flags(io.parse_path(found, "folder_file"), "folder_file", s.fx("fx_projects").select("project_code"), "2019-04-01", "2024-03-01")
+    return flagged.select("folder_file", "ccg_code", "file_date", "dq_flag")

@@ -65,6 +65,32 @@ def jaro_distance(a: Column, b: Column) -> Column:
             .otherwise(walked))
 
 
+def letter_counts(token: Column, letters: str) -> Column:
+    """How often each of some letters occurs in a token."""
+    return F.array(*[F.length(token) - F.length(F.replace(token, F.lit(c), F.lit(""))) for c in letters])
+
+
+def least_distance(counts: Column, length: Column, term: str, letters: str) -> Column:
+    """No Jaro distance of the token to the term is lower: matches are at most the letters both have, transpositions at least none."""
+    shared = F.lit(0)
+    for c in sorted(set(term)):
+        shared = shared + F.least(F.element_at(counts, letters.index(c) + 1), F.lit(term.count(c)))
+    most = F.when(length > 0, (shared / F.greatest(length, F.lit(1)) + shared / len(term) + 1) / 3)
+    return F.when(shared > 0, 1 - most).otherwise(1.0) if term else F.when(length > 0, F.lit(1.0)).otherwise(0.0)
+
+
+def closest_of(token: Column, bounds: Column) -> Column:
+    """Array of (distance, term) of the closest terms, ties all kept; bounds has (least distance, term) of each, the first in order is tried first.
+
+    Only terms whose least distance does not pass the distance of the first are measured.
+    """
+    exact = lambda t: F.round(jaro_distance(token, t), 9)
+    able = F.transform(F.array(F.array_min(bounds)), lambda first: F.struct(exact(first["term"]).alias("d")))
+    close = F.flatten(F.transform(able, lambda bar: F.filter(bounds, lambda b: b["least"] <= bar["d"] + 1e-8)))
+    scored = F.array_sort(F.transform(close, lambda b: F.struct(exact(b["term"]).alias("distance"), b["term"].alias("term"))))
+    return F.flatten(F.transform(F.array(scored), lambda all_: F.filter(all_, lambda s: s["distance"] == F.element_at(all_, 1)["distance"])))
+
+
 def nearest_terms(token: Column, terms: Sequence[str]) -> Column:
     """Array of (term, distance) for the closest accepted terms; ties are all kept."""
     scored = F.transform(

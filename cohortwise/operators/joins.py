@@ -110,10 +110,14 @@ def closest_terms(df: DataFrame, token: str, terms: Sequence[str]) -> DataFrame:
     """Adds (term, distance) of the closest accepted term to every token.
 
     Distances are computed once per distinct token; the terms are a constant array, so
-    no pairs of rows are formed.
+    no pairs of rows are formed. Lengths and letter counts bound each distance from below;
+    only terms that can still be the closest are compared character by character.
     """
+    letters = "".join(sorted({c for t in terms for c in t}))
+    bounds = F.array(*[F.struct(text.least_distance(F.col("_letters"), F.length(token), t, letters).alias("least"), F.lit(t).alias("term")) for t in terms])
     scored = (df.select(token).filter(F.col(token).isNotNull()).distinct()
-              .withColumn("_best", F.explode(text.nearest_terms(F.col(token), terms)))
+              .withColumn("_letters", text.letter_counts(F.col(token), letters)).withColumn("_bounds", bounds)
+              .withColumn("_best", F.explode(text.closest_of(F.col(token), F.col("_bounds"))))
               .select(token, F.col("_best.term").alias("term"), F.col("_best.distance").alias("distance")))
     return df.join(scored, token)
 

@@ -61,6 +61,11 @@ def recent_headers(df: DataFrame, since: str, columns: Sequence[str], received:
     return df.filter(F.col(received) >= F.lit(since).cast("date")).select(*columns).distinct()
 
 
+def recent_from_months(snapshot: DataFrame, since: str, columns: Sequence[str], received: str = "ReceivedDate") -> DataFrame:
+    """The same from a snapshot by month (see io.save_by_month): only the folders of the months asked for are read."""
+    return recent_headers(snapshot.filter(F.col("received_month") >= since[:7]), since, columns, received)
+
+
 def person_validity(df: DataFrame, key: str = "ParticipantID", shortest: int = 60,
                     out: str = "person_validity") -> DataFrame:
     return df.withColumn(out, F.when(F.length(key) < shortest, "Invalid").otherwise("Valid"))

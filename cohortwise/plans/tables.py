@@ -58,6 +58,19 @@ def with_months(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.withColumns({out: dates.month_start(c) for c, out in columns.items()})
 
 
+def order_by_frequency(df: DataFrame, column: str, out: str, missing: str | None = None) -> DataFrame:
+    """Place of each value among the values by frequency, equal ones by name; a missing value is given a name and stays last.
+
+    Counts per value are sorted inside one aggregate and unfolded by position: rows meet only the few values.
+    """
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    first = F.struct(F.col(column).isNull().alias("last"), (-F.col("_n")).alias("n"), F.col(column).alias("v"))
+    places = counts.agg(F.array_sort(F.collect_list(first)).alias("_l")).select(F.posexplode("_l").alias("_at", "_e"))
+    places = places.select(F.col("_e.v").alias(column), (F.col("_at") + 1).cast("int").alias(out))
+    ordered = joins.null_safe(df, places, [column], "inner")
+    return ordered if missing is None else ordered.withColumn(column, F.coalesce(column, F.lit(missing)))
+
+
 def clean_demographics(df: DataFrame, areas: DataFrame, ethnicity: DataFrame) -> DataFrame:
     df = joins.lookup(df, areas, "LSOA", {"LSOA_NAME": "lsoa_name", "Decile": "imd_decile", "RUC11CD": "rurality_code"},
                       "LSOA_CODE")

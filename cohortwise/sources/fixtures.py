@@ -64,6 +64,7 @@ SELECT {_person('c_custkey')} AS ParticipantID, {_audit('c_custkey', 'c_custkey'
  CASE c_custkey % 5 WHEN 0 THEN 'F' WHEN 1 THEN ' male' WHEN 2 THEN 'FEMALE' WHEN 3 THEN 'm' ELSE 'X' END AS Sex,
  CAST(c_nationkey AS STRING) AS LSOA, CASE WHEN c_custkey % 83 <> 3 THEN c_mktsegment END AS Ethnicity,
  CASE c_custkey % 6 WHEN 0 THEN 'Single' WHEN 1 THEN 'Divorced' WHEN 2 THEN 'Widow(er)' WHEN 3 THEN 'Separated' WHEN 4 THEN 'unlisted' END AS Marital_Status,
+ CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 10 < 6 THEN 'English' WHEN c_custkey % 10 < 8 THEN 'Urdu' WHEN c_custkey % 10 = 8 THEN 'Polish' ELSE 'Bengali' END AS Language,
  CAST(c_nationkey % 7 AS STRING) AS CCG_Code
 FROM {{customer}}"""
 

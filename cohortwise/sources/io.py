@@ -42,6 +42,11 @@ def save_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_by_month(df: DataFrame, path: str, received: str = "ReceivedDate") -> DataFrame:
+    """A snapshot with one folder per month of receipt (column received_month, yyyy-MM)."""
+    return save_snapshot(df.withColumn("received_month", F.date_format(received, "yyyy-MM")), path, ["received_month"])
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     return spark.read.csv(paths, schema=schema, header=True)
 
@@ -53,6 +58,18 @@ def read_submissions(spark: SparkSession, paths: Sequence[str], schema: T.Struct
             .dropna(subset=[required]))
 
 
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All files below a folder: path, length, modified. Only the file system's listing is read, no content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def read_checked(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, broken: str = "broken_row") -> DataFrame:
+    """Files with all their rows: what does not fit the schema is missing, and the row as it stands is in the column for broken rows."""
+    wide = T.StructType([*schema, T.StructField(broken, T.StringType())])
+    return spark.read.csv(paths, schema=wide, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=broken)
+
+
 def parse_path(df: DataFrame, path: str) -> DataFrame:
     """Folder, project code, month and year out of {folder}/{code}_{month}_{year}.xlsx."""
     pattern = r"([^/]+)/([^/_]+)_([A-Za-z]+)_(\d{4})\.xlsx$"
@@ -89,11 +106,15 @@ def accepted_and_rejected(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter("dq_flag"), df.filter("NOT dq_flag")
 
 
-def row_flags(df: DataFrame, metric_ids: Sequence[str]) -> DataFrame:
-    """Row checks: known metric, numerator missing, numerator zero; any problem sets dq_problem."""
+def row_flags(df: DataFrame, metric_ids: Sequence[str], broken: str | None = None) -> DataFrame:
+    """Row checks: known metric, numerator missing, numerator zero, and row not broken where that column is named; any problem sets dq_problem."""
     df = df.withColumns({"dq_metric_id": clean.one_of("metric_id", metric_ids), "dq_numerator_na": F.col("numerator").isNull(),
                          "dq_numerator_zero": F.coalesce(F.col("numerator") == 0, F.lit(False))})
-    return df.withColumn("dq_problem", ~F.col("dq_metric_id") | F.col("dq_numerator_na") | F.col("dq_numerator_zero"))
+    problem = ~F.col("dq_metric_id") | F.col("dq_numerator_na") | F.col("dq_numerator_zero")
+    if broken is not None:
+        df = df.withColumn("dq_broken", F.col(broken).isNotNull())
+        problem = problem | F.col("dq_broken")
+    return df.withColumn("dq_problem", problem)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
