@@ -135,16 +135,17 @@ def funnel_counts(spark, path):
         "large": F.col("o_totalprice") > 250000}, "o_custkey")
 
 
-PROFILED = [(c, "string") for c in ("ParticipantID", "SubmittedZipFile", "SubmittedFile", "UserEmail", "Age", "Sex", "LSOA", "Ethnicity", "Marital_Status", "CCG_Code")]
+PROFILED = [*[(c, "string") for c in ("ParticipantID", "SubmittedZipFile", "SubmittedFile", "UserEmail", "Age", "Sex", "LSOA", "Ethnicity", "Marital_Status", "Language", "CCG_Code")],
+            ("TransactionId", "bigint"), ("CSURowNumber", "bigint"), ("ReceivedDate", "date")]
 
 
 @query("profile_columns", " UNION ALL ".join(
     f"SELECT '{c}' AS variable, '{t}' AS class, count(*) AS rows, count(*) FILTER (v IS NULL) AS missing, count(DISTINCT v) AS cardinality, "
     f"round(1.0 * count(*) FILTER (v IS NULL) / count(*), 6) AS missing_rate, round(1.0 * count(DISTINCT v) / count(*), 6) AS cardinality_rate "
-    f"FROM (SELECT CASE WHEN {c} NOT IN ('', 'NULL', 'null', 'Null') THEN {c} END AS v FROM fx_demographics)" for c, t in PROFILED))
+    f"FROM (SELECT CASE WHEN CAST({c} AS VARCHAR) NOT IN ('', 'NULL', 'null', 'Null') THEN {c} END AS v FROM fx_demographics)" for c, t in PROFILED))
 def profile_columns(spark, path):
     df = clean.junk_to_null(src(spark, path).fx("fx_demographics"))
-    return aggregate.profile(df, skip=["TransactionId", "CSURowNumber", "ReceivedDate"], skip_prefix="calc_")
+    return aggregate.profile(df, skip_prefix="calc_")
 
 
 @query("list_and_mode", """SELECT o_custkey, string_agg(o_orderpriority, ', ' ORDER BY o_orderpriority) AS values_list, first(o_orderpriority ORDER BY n DESC, o_orderpriority) AS mode

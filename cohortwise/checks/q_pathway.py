@@ -214,20 +214,43 @@ def sum_if(cond: str, name: str) -> str:
     return f"CAST(coalesce(sum(participants) FILTER ({cond}), 0) AS BIGINT) AS {name}"
 
 
-@query("group_measures", "SELECT *, invites_second + invites_third AS invites_followup, invites_first + invites_second + invites_third AS invites_total, round(attended / nullif(CAST(invites_first AS DOUBLE), 0), 4) AS uptake, "
-       "round(referred / nullif(CAST(attended AS DOUBLE), 0), 4) AS conversion_eligible, round(scanned / nullif(CAST(attended AS DOUBLE), 0), 4) AS conversion_realised FROM (SELECT invite_mode, "
-       + ", ".join(sum_if(c, n) for n, c in [
-           ("invites_first", "invite_1 IS NOT NULL"), ("invites_second", "invite_2 IS NOT NULL"), ("invites_third", "invite_3 IS NOT NULL"),
-           ("attended_f2f", "attendance = 'LHC Attended' AND methods = 'F2F'"), ("attended_virtual", "attendance = 'LHC Attended' AND methods = 'Virtual'"),
-           ("attended_hybrid", "attendance = 'LHC Attended' AND methods = 'F2F, Virtual'"), ("attended", "attendance = 'LHC Attended'"), ("referred", "risk = 'High risk'"),
-           ("scanned", "scan_group IS NOT NULL"), ("programme_cancer", "cancer_outcome = 'Programme: lung cancer'"), ("counterfactual_cancer", "cancer_outcome = 'Counterfactual: lung cancer'"),
-           ("scanned_no_cancer", "cancer_outcome = 'Scanned: No lung cancer'"), ("programme_s12", "cancer_stage = 'Programme: S 1-2'"), ("programme_s34", "cancer_stage = 'Programme: S 3-4'"),
-           ("programme_s_unknown", "cancer_stage = 'Programme: S ?'")])
-       + " FROM mcube WHERE invite_mode IS NOT NULL AND check_before_end_185 GROUP BY 1)")
+MEASURED = ", ".join(sum_if(c, n) for n, c in [
+    ("invites_first", "invite_1 IS NOT NULL"), ("invites_second", "invite_2 IS NOT NULL"), ("invites_third", "invite_3 IS NOT NULL"),
+    ("attended_f2f", "attendance = 'LHC Attended' AND methods = 'F2F'"), ("attended_virtual", "attendance = 'LHC Attended' AND methods = 'Virtual'"),
+    ("attended_hybrid", "attendance = 'LHC Attended' AND methods = 'F2F, Virtual'"), ("attended", "attendance = 'LHC Attended'"), ("referred", "risk = 'High risk'"),
+    ("scanned", "scan_group IS NOT NULL"), ("programme_cancer", "cancer_outcome = 'Programme: lung cancer'"), ("counterfactual_cancer", "cancer_outcome = 'Counterfactual: lung cancer'"),
+    ("scanned_no_cancer", "cancer_outcome = 'Scanned: No lung cancer'"), ("programme_s12", "cancer_stage = 'Programme: S 1-2'"), ("programme_s34", "cancer_stage = 'Programme: S 3-4'"),
+    ("programme_s_unknown", "cancer_stage = 'Programme: S ?'")])
+
+
+def measures_sql(parts: list[str]) -> str:
+    return ("SELECT *, invites_second + invites_third AS invites_followup, invites_first + invites_second + invites_third AS invites_total, round(attended / nullif(CAST(invites_first AS DOUBLE), 0), 4) AS uptake, "
+            "round(referred / nullif(CAST(attended AS DOUBLE), 0), 4) AS conversion_eligible, round(scanned / nullif(CAST(attended AS DOUBLE), 0), 4) AS conversion_realised FROM ("
+            + " UNION ALL ".join(parts) + ")")
+
+
+@query("group_measures", measures_sql([f"SELECT invite_mode, {MEASURED} FROM mcube WHERE invite_mode IS NOT NULL AND check_before_end_185 GROUP BY 1"]))
 def group_measures(spark, path):
     return pathway.group_measures(cube(spark, path), "invite_mode")
 
 
+# Reporting groups of the measures, as the twin states them.
+GROUP_SQL = {
+    "total": "'Total'", "gender": "sex", "invite model": "invite_mode", "check model": "lhc_delivery", "alliance": "CAName", "project": "project",
+    "deprivation": "CASE WHEN imd_decile IN (1, 2) THEN 'Q1' WHEN imd_decile BETWEEN 3 AND 10 THEN 'Q2-5' ELSE 'Not known' END",
+    "age": "CASE age_band_eval WHEN '55-64' THEN '55-64yrs' WHEN '65-74' THEN '65-74yrs' WHEN '75' THEN '75yrs' WHEN 'Other' THEN 'Other' WHEN 'Age below zero' THEN 'Other' ELSE 'Not known' END",
+    "ethnicity": "CASE WHEN ethnic_group IN ('White', 'Not known') THEN ethnic_group WHEN ethnic_group IN ('Asian or Asian British', 'Black or Black British', 'Mixed', 'Other Ethnic Group') THEN 'Other ethnicities' END",
+    "triage": "CASE triage_before_risk_assessment WHEN 'Unknown' THEN 'Not known' ELSE triage_before_risk_assessment END",
+    "admin": "CASE admin WHEN 'Unknown' THEN 'Not known' ELSE admin END",
+}
+
+
+@query("group_measures_all", measures_sql([f"SELECT '{g}' AS grouping, {c} AS level, {MEASURED} FROM mcube WHERE ({c}) IS NOT NULL AND check_before_end_185 GROUP BY 2" if g != "total" else
+                                           f"SELECT 'total' AS grouping, 'Total' AS level, {MEASURED} FROM mcube WHERE check_before_end_185 HAVING count(*) > 0" for g, c in GROUP_SQL.items()]))
+def group_measures_all(spark, path):
+    return pathway.measures_by_group(cube(spark, path), pathway.GROUPINGS)
+
+
 # --- models
 
 ODDS = "(SELECT o_custkey % 2 = 0 AS e, o_orderpriority = '1-URGENT' AS k, count(*) AS w FROM orders GROUP BY 1, 2)"
@@ -289,8 +312,20 @@ for _name, _outcome in OUTCOMES.items():
     _odds(_name, *_outcome)
 
 
-SEGMENTS = [("all", "TRUE"), ("opt in", "invite_mode = 'Opt-in'"), ("opt out", "invite_mode = 'Opt-out'"), ("virtual", "lhc_delivery = 'Virtual'"),
-            ("face to face", "lhc_delivery = 'Face-to-face'"), ("original", "phase = 'Original'"), ("onboarded", "phase = 'Onboarded'"), ("triage", "triage_before_risk_assessment = 'Yes'")]
+# Segments whose conversions are reported, and those of them that are crossed.
+POOR, OTHER = "imd_decile IN (1, 2)", "imd_decile BETWEEN 3 AND 10"
+MODES = [("opt in", "invite_mode = 'Opt-in'"), ("opt out", "invite_mode = 'Opt-out'")]
+CROSSED = [("quintile 1", POOR), ("quintiles 2 to 5", OTHER), ("age 55 to 64", "age_band_eval = '55-64'"), ("age 65 to 74", "age_band_eval = '65-74'")]
+SEGMENTS = [
+    ("all", "TRUE"), *MODES, ("combined", "invite_mode = 'Combined'"), ("opt in or out", "invite_mode IN ('Opt-in', 'Opt-out')"),
+    ("triage", "triage_before_risk_assessment = 'Yes'"), ("no triage", "triage_before_risk_assessment = 'No'"),
+    ("face to face", "lhc_delivery = 'Face-to-face'"), ("virtual", "lhc_delivery = 'Virtual'"), ("hybrid", "lhc_delivery = 'Hybrid'"),
+    ("in-house", "admin = 'In-house'"), ("outsourced", "admin = 'Outsourced'"), ("original", "phase = 'Original'"), ("onboarded", "phase = 'Onboarded'"),
+    *CROSSED, ("age 75", "age_band_eval = '75'"), ("female", "sex = 'Female'"), ("male", "sex = 'Male'"), ("white", "ethnic_group = 'White'"),
+    ("other ethnicities", "ethnic_group IN ('Asian or Asian British', 'Black or Black British', 'Mixed', 'Other Ethnic Group')"),
+    ("current smoker", "smoking_status = 'Current smoker'"), ("previous smoker", "smoking_status = 'Previous smoker'"), ("smoking unknown", "smoking_status = 'Unknown'"),
+    *[(f"{a}, {b}", f"{c} AND {d}") for a, c in CROSSED for b, d in MODES],
+]
 
 
 def _conversion(name: str, base: str, hit: str):

@@ -222,6 +222,10 @@ CROSS JOIN (SELECT unnest(generate_series(DATE '{SPAN[0]}', DATE '{SPAN[1]}', IN
 LEFT JOIN rows_h r ON r.project = p.project AND r.month = m.month AND r.metric_id = v.metric_id"""
 
 
+# Published names of the template's metrics; those without one stay nameless.
+PUBLISHED = {i: metrics.NAMES[{"14": "14a"}.get(i, i)].replace("{programme}", "PROGRAMME") for i in TEMPLATE_IDS if {"14": "14a"}.get(i, i) in metrics.NAMES}
+
+
 def filled(spark, path):
     projects = src(spark, path).fx("fx_projects")
     submitted = joins.lookup(rows(spark, path), projects, "project", ["project_code"])
@@ -234,9 +238,9 @@ def mi_template(spark, path):
 
 
 @query("mi_flatfile", f"""SELECT CACode, CAName, project_code AS ProjectCode, project AS Project, metric_id AS MetricId,
- 'Metric ' || metric_id AS Metric, month, numerator AS Numerator FROM ({TEMPLATE}) WHERE metric_id NOT IN {MED}""")
+ CASE metric_id {" ".join(f"WHEN '{i}' THEN '{n}'" for i, n in PUBLISHED.items())} END AS Metric, month, numerator AS Numerator FROM ({TEMPLATE}) WHERE metric_id NOT IN {MED}""")
 def mi_flatfile(spark, path):
-    return reports.flat_file(filled(spark, path), {i: f"Metric {i}" for i in reports.METRIC_ORDER})
+    return reports.flat_file(filled(spark, path), reports.published_names())
 
 
 @query("datasheet_rows", f"""SELECT h.project, h.month, v.metric_id, v.metric_name, coalesce(a.adj, m.numerator) AS numerator,
@@ -279,18 +283,21 @@ def headers(spark, path):
     return reshape.union_all([reports.submission_headers(s.fx(f"fx_{v}"), n, p, "2023-01-01") for n, v, p in SUBMITTED])
 
 
-@query("latest_submission_pivot", "SELECT TransactionId, project_code, " + ", ".join(
+NAMED = " LEFT JOIN (SELECT project_code, min(project) AS project FROM fx_projects GROUP BY 1) p ON h.project_code = p.project_code"
+
+
+@query("latest_submission_pivot", "SELECT TransactionId, h.project_code, project, " + ", ".join(
     f"coalesce(max(CASE WHEN ReceivedDate >= DATE '2024-05-15' THEN 'Include' ELSE 'Exclude' END) FILTER (table_name = '{n}'), 'Exclude') AS \"{n}\"" for n, _, _ in SUBMITTED)
-    + f" FROM ({HEADS}) GROUP BY 1, 2")
+    + f" FROM ({HEADS}) h{NAMED} GROUP BY 1, 2, 3")
 def latest_submission_pivot(spark, path):
     heads = headers(spark, path).withColumn("include", dates.include_label("ReceivedDate", "2024-06-20"))
-    return reports.submission_pivot(heads, [n for n, _, _ in SUBMITTED], "include", "Exclude")
+    return reports.submission_pivot(heads, [n for n, _, _ in SUBMITTED], "include", "Exclude", src(spark, path).fx("fx_projects"))
 
 
-@query("submission_views", "SELECT TransactionId, project_code, " + ", ".join(
-    f"max(ReceivedDate) FILTER (table_name = '{n}') AS \"{n}\"" for n, _, _ in SUBMITTED) + f" FROM ({HEADS}) WHERE project_code = 'ORG02' GROUP BY 1, 2")
+@query("submission_views", "SELECT TransactionId, h.project_code, project, " + ", ".join(
+    f"max(ReceivedDate) FILTER (table_name = '{n}') AS \"{n}\"" for n, _, _ in SUBMITTED) + f" FROM ({HEADS}) h{NAMED} WHERE h.project_code = 'ORG02' GROUP BY 1, 2, 3")
 def submission_views(spark, path):
-    return reports.submission_pivot(headers(spark, path), [n for n, _, _ in SUBMITTED], "ReceivedDate", None).filter("project_code = 'ORG02'")
+    return reports.submission_pivot(headers(spark, path), [n for n, _, _ in SUBMITTED], "ReceivedDate", None, src(spark, path).fx("fx_projects")).filter("project_code = 'ORG02'")
 
 
 @query("submitter_adjustment", f"""SELECT coalesce(f.month, a.month) AS month, followup_invitations, accepted_invitations FROM

@@ -332,14 +332,29 @@ def reporting_groups(df: DataFrame) -> DataFrame:
             "Other ethnicities": ["Asian or Asian British", "Black or Black British", "Mixed", "Other Ethnic Group"]}, None),
         "rpt_triage": F.when(F.col("triage_before_risk_assessment") == "Unknown", "Not known")
                        .otherwise(F.col("triage_before_risk_assessment")),
+        "rpt_admin": F.when(F.col("admin") == "Unknown", "Not known").otherwise(F.col("admin")),
     })
 
 
-def group_measures(df: DataFrame, group: str, programme: str = "Programme", weight: str = "participants") -> DataFrame:
+# Groupings of the cohort's measures and their columns.
+GROUPINGS = {"deprivation": "rpt_imd", "age": "rpt_age", "gender": "sex", "ethnicity": "rpt_ethnicity", "invite model": "invite_mode", "check model": "lhc_delivery",
+             "triage": "rpt_triage", "admin": "rpt_admin", "alliance": "CAName", "project": "project"}
+
+
+def measures_by_group(df: DataFrame, groupings: Mapping[str, str], programme: str = "Programme", weight: str = "participants") -> DataFrame:
+    """The measures of every level of every grouping, and of everyone: a cell unfolds into its groups, one aggregate serves them all."""
+    groups = [F.struct(F.lit("total").alias("grouping"), F.lit("Total").alias("level")),
+              *[F.when(F.col(c).isNotNull(), F.struct(F.lit(g).alias("grouping"), F.col(c).cast("string").alias("level"))) for g, c in groupings.items()]]
+    cells = reporting_groups(df).withColumn("_g", F.explode(F.array_compact(F.array(*groups)))).select("*", "_g.grouping", "_g.level")
+    return group_measures(cells, ["grouping", "level"], programme, weight)
+
+
+def group_measures(df: DataFrame, group: str | Sequence[str], programme: str = "Programme", weight: str = "participants") -> DataFrame:
     """The cohort's measures per reporting group, from one grouping, with their ratios."""
     attended = F.col("attendance") == "LHC Attended"
     by = lambda m: attended & (F.col("methods") == m)
-    out = aggregate.conditional_sums(df.filter(F.col(group).isNotNull() & F.col("check_before_end_185")), [group], weight, {
+    by_group = [group] if isinstance(group, str) else list(group)
+    out = aggregate.conditional_sums(df.dropna(subset=by_group).filter("check_before_end_185"), by_group, weight, {
         "invites_first": F.col("invite_1").isNotNull(),
         "invites_second": F.col("invite_2").isNotNull(),
         "invites_third": F.col("invite_3").isNotNull(),

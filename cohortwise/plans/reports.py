@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.functions import clean, dates
 from cohortwise.operators import aggregate, joins, reshape, select
+from cohortwise.plans import metrics
 from cohortwise.plans.cohort import counted
 
 # Metrics in report order, and their months and financial years.
@@ -124,6 +125,11 @@ def flat_file(rows: DataFrame, names: Mapping[str, str]) -> DataFrame:
                     F.col("numerator").alias("Numerator")))
 
 
+def published_names(programme: str = "PROGRAMME") -> dict[str, str]:
+    """Published name of each metric of the template that has one; ids are those of the template."""
+    return {i: metrics.NAMES[old].format(programme=programme) for i, old in ((i, "14a" if i == "14" else i) for i in METRIC_ORDER) if old in metrics.NAMES}
+
+
 def _metric_order() -> Column:
     return clean.level_order("metric_id", METRIC_ORDER)
 
@@ -315,8 +321,12 @@ def project_code(c, pattern: str) -> Column:
     return clean.replace_first(clean.replace_first(F.when(found != "", found), pattern, ""), "_", "")
 
 
-def submission_pivot(headers: DataFrame, tables: Sequence[str], value: str, fill: str | None) -> DataFrame:
-    return reshape.to_wide(headers, ["TransactionId", "project_code"], "table_name", tables, F.max(value), fill)
+def submission_pivot(headers: DataFrame, tables: Sequence[str], value: str, fill: str | None, projects: DataFrame | None = None) -> DataFrame:
+    """One row per submission and project, one column per table; projects adds the project's name."""
+    wide = reshape.to_wide(headers, ["TransactionId", "project_code"], "table_name", tables, F.max(value), fill)
+    if projects is None:
+        return wide
+    return wide.join(projects.groupBy("project_code").agg(F.min("project").alias("project")), "project_code", "left")
 
 
 def submitter_adjustment(invites: DataFrame, since: str) -> DataFrame:
