@@ -4,11 +4,13 @@ Base rules look at the number of words and the share of words in repeated window
 classes and of common words with those of each reference language by the Jensen-Shannon distance, the root of the divergence to base 2; the language
 with the smallest sum of both counts. Documents with fewer words than a histogram's guard pass it: short texts lie far from any reference by chance.
 
-References are the summed histograms of all documents of a language that pass the base rules: one aggregate, one row of
-fixed length for each of LANGUAGES. Everything about a document is computed inside its row: nothing is shuffled.
+References are the summed histograms of all documents of a language that pass the base rules: one aggregate, one row of fixed length for each
+language. Every document is held to those of LANGUAGES, whose common words are known. A document that is labelled with another language is held to
+that language's own reference as well, and only by its characters: of such a language no words are known, so that clean texts hold few of them.
+Everything about a document is computed inside its row; own references are joined on the language, and only where there are any.
 
 Defined results: a missing text has no words, and fails. A language without documents is no reference; without any reference the method keeps.
-Missing languages teach nothing. Repeated rows are judged alike.
+Missing languages teach nothing, and documents without a label are held to LANGUAGES. Repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -115,13 +117,22 @@ def _base_failed() -> Column:
     return (n < LEAST_WORDS) | (repeated * 100 > n * MOST_REPEATED)
 
 
-def references(described: DataFrame, lang: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
-    """Shares of character classes and of common words in the documents of each language that pass the base rules."""
+def references(described: DataFrame, lang: str = "lang") -> tuple[dict[str, tuple[list[float], list[float]]], DataFrame | None]:
+    """Shares of character classes and of common words in the documents of each language that pass the base rules.
+
+    Those of LANGUAGES by name; those of all other languages as a table (_dr_lang and _dr_own, a struct), None if there are none.
+    """
     sums = [F.sum(F.get(_named("characters"), F.lit(k))).alias(f"c{k}") for k in range(len(CLASSES))]
     sums += [F.sum(F.get(_named("words"), F.lit(k))).alias(f"w{k}") for k in range(BINS)]
-    got = described.where(~_base_failed() & F.col(lang).isin(*LANGUAGES)).groupBy(lang).agg(*sums).collect()
+    summed = stage(described.where(~_base_failed() & F.col(lang).isNotNull()).groupBy(F.col(lang).alias(_named("lang"))).agg(*sums), "divergence-references")
+    known = F.col(_named("lang")).isin(*LANGUAGES)
     parts = lambda xs: [x / sum(xs) for x in xs]
-    return {r[0]: (parts(r[1:1 + len(CLASSES)]), parts(r[1 + len(CLASSES):])) for r in sorted(got)}
+    refs = {r[0]: (parts(r[1:1 + len(CLASSES)]), parts(r[1 + len(CLASSES):])) for r in sorted(summed.where(known).collect())}
+    others = summed.where(~known)
+    if others.isEmpty():
+        return refs, None
+    own = F.struct(shares(F.array(*[f"c{k}" for k in range(len(CLASSES))])).alias("c"), shares(F.array(*[f"w{k}" for k in range(BINS)])).alias("w"))
+    return refs, others.select(_named("lang"), own.alias(_named("own")))
 
 
 def shares(counts: Column) -> Column:
@@ -135,34 +146,48 @@ def _information(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(0.0), lambda a, x: a + F.when(x > 0, x * F.log2(x)).otherwise(0.0))
 
 
-def distance(p: Column, own: Column, reference: list[float]) -> Column:
+def distance(p: Column, own: Column, reference: list[float] | Column) -> Column:
     """Jensen-Shannon distance (base 2, 0 to 1) between shares and a reference; own is the shares' _information.
 
     The divergence is the entropy of the mean less the mean of the entropies.
     """
-    theirs = sum(q * math.log2(q) for q in reference if q > 0)
-    mean = _information(F.zip_with(p, F.array(*map(F.lit, reference)), lambda a, b: (a + b) / 2))
+    if isinstance(reference, Column):
+        theirs = _information(reference)
+    else:
+        theirs, reference = sum(q * math.log2(q) for q in reference if q > 0), F.array(*map(F.lit, reference))
+    mean = _information(F.zip_with(p, reference, lambda a, b: (a + b) / 2))
     return F.sqrt(F.greatest((own + theirs) / 2 - mean, F.lit(0.0)))
 
 
-def judge(described: DataFrame, refs: dict[str, tuple[list[float], list[float]]], into: str = "_dr_verdict") -> DataFrame:
+def judge(described: DataFrame, refs: dict[str, tuple[list[float], list[float]]], others: DataFrame | None = None, lang: str = "lang",
+          into: str = "_dr_verdict") -> DataFrame:
     """described and a struct: base_failed, language, character_distance, word_distance, kept."""
     failed, n = _base_failed(), F.col(_named("n_words"))
     near = "struct<total:double,c:double,w:double,language:string>"
+    if others is not None:
+        described = described.join(others, F.col(lang) == F.col(_named("lang")), "left")
+    own = F.col(_named("own"))
+
     def nearest(p: Column, q: Column) -> Column:
-        def of_language(name: str, c: list[float], w: list[float], i: Column) -> Column:
+        def of_language(name: Column, c: list[float] | Column, w: list[float] | Column, i: Column) -> Column:
             pair = F.struct(distance(p, i["c"], c).alias("c"), distance(q, i["w"], w).alias("w"))
-            return _let(pair, lambda d: F.struct((d["c"] + d["w"]).alias("total"), d["c"].alias("c"), d["w"].alias("w"), F.lit(name).alias("language")))
-        return _let(F.struct(_information(p).alias("c"), _information(q).alias("w")),
-                    lambda i: F.array_min(F.array(*[of_language(x, c, w, i) for x, (c, w) in refs.items()])))
+            return _let(pair, lambda d: F.struct((d["c"] + d["w"]).alias("total"), d["c"].alias("c"), d["w"].alias("w"), name.alias("language")))
+
+        def of_all(i: Column) -> Column:
+            found = [of_language(F.lit(x), c, w, i) for x, (c, w) in refs.items()]
+            if others is not None:
+                found.append(F.when(own.isNotNull(), of_language(F.col(_named("lang")), own["c"], own["w"], i)))
+            return F.array_min(F.array(*found))  # passes over nulls
+        return _let(F.struct(_information(p).alias("c"), _information(q).alias("w")), of_all)
 
     best = (_let(shares(F.col(_named("characters"))), lambda p: _let(shares(F.col(_named("words"))), lambda q: nearest(p, q)))
-            if refs else F.lit(None).cast(near))
+            if refs or others is not None else F.lit(None).cast(near))
     rows = _pinned(described, F.when(n >= GUARD_WORDS, best), _named("best"))
     b = F.col(_named("best"))
-    close = F.coalesce((b["c"] <= MOST_CHARACTERS) & ((b["w"] <= MOST_COMMON) | (n < GUARD_COMMON)), F.lit(True))
+    spared = (n < GUARD_COMMON) | (F.lit(False) if others is None else own.isNotNull())
+    close = F.coalesce((b["c"] <= MOST_CHARACTERS) & ((b["w"] <= MOST_COMMON) | spared), F.lit(True))
     return rows.withColumn(into, F.struct(failed.alias("base_failed"), b["language"].alias("language"), b["c"].alias("character_distance"),
-                                          b["w"].alias("word_distance"), (~failed & close).alias("kept"))).drop(_named("best"))
+                                          b["w"].alias("word_distance"), (~failed & close).alias("kept"))).drop(*map(_named, ("best", "lang", "own")))
 
 
 def _pinned(df: DataFrame, value: Column, name: str) -> DataFrame:
@@ -178,7 +203,7 @@ def report(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed, kept, and both distances to the nearest reference."""
     described = stage(describe(docs.select("doc_id", "text", "lang")).drop("text"), "divergence-counts")
     v = F.col("_dr_verdict")
-    return judge(described, references(described)).select(
+    return judge(described, *references(described)).select(
         "doc_id", *[F.col(_named(c)).alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         v["base_failed"].alias("base_failed"), v["kept"].alias("kept"), v["language"].alias("nearest_language"),
         F.round(v["character_distance"], 6).alias("character_distance"), F.round(v["word_distance"], 6).alias("word_distance"))
@@ -187,5 +212,4 @@ def report(docs: DataFrame) -> DataFrame:
 def keep(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns."""
     described = describe(docs.select("text", "lang"))
-    refs = references(described)
-    return judge(describe(docs), refs).where("_dr_verdict.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judge(describe(docs), *references(described)).where("_dr_verdict.kept").select(*[F.col(f"`{c}`") for c in docs.columns])

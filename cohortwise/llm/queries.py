@@ -91,13 +91,15 @@ f AS (SELECT *, [length(t) - space - nr, nr - nn, digits, space, beyond, nn - di
 parts AS (SELECT r, lang, base_failed, n_words, 'c' AS kind, unnest(range(1, 8)) AS k, unnest(ch) AS v FROM f
   UNION ALL SELECT r, lang, base_failed, n_words, 'w', unnest(range(1, {len(_COMMON) + 2})), unnest(wd) FROM f),
 refs AS (SELECT lang AS ref, kind, k, sum(v) * 1.0 / sum(sum(v)) OVER (PARTITION BY lang, kind) AS q FROM parts
-  WHERE NOT base_failed AND lang IN ('en', 'fr', 'de', 'es') GROUP BY lang, kind, k),
+  WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang, kind, k),
 shares AS (SELECT *, v * 1.0 / greatest(sum(v) OVER (PARTITION BY r, kind), 1) AS p FROM parts WHERE n_words >= 50),
-js AS (SELECT r, ref, shares.kind, sqrt(greatest(sum({_TERM}), 0)) AS j FROM shares JOIN refs ON shares.kind = refs.kind AND shares.k = refs.k GROUP BY r, ref, shares.kind),
+js AS (SELECT r, ref, shares.kind, sqrt(greatest(sum({_TERM}), 0)) AS j FROM shares JOIN refs ON shares.kind = refs.kind AND shares.k = refs.k
+  AND (ref IN ('en', 'fr', 'de', 'es') OR ref = shares.lang) GROUP BY r, ref, shares.kind),
 both_ AS (SELECT r, ref, max(CASE WHEN kind = 'c' THEN j END) AS c, max(CASE WHEN kind = 'w' THEN j END) AS w FROM js GROUP BY r, ref),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY c + w, c, w, ref) AS place FROM both_) x WHERE place = 1)
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_lines - n_own_lines AS BIGINT) AS n_dup_lines,
- CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND coalesce(c <= 0.30 AND (best.w <= 0.295 OR n_words < 100), true) AS kept,
+ CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+ NOT base_failed AND coalesce(c <= 0.30 AND (best.w <= 0.295 OR n_words < 100 OR coalesce(lang NOT IN ('en', 'fr', 'de', 'es'), false)), true) AS kept,
  ref AS nearest_language, round(c, 6) AS character_distance, round(best.w, 6) AS word_distance
 FROM f LEFT JOIN best ON f.r = best.r""")
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:

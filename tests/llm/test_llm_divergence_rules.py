@@ -41,14 +41,16 @@ def brute(rows):
     failed = [b[0] < 20 or 100 * b[4] > 30 * b[0] for b in base]
     hist = [histograms(t) for _, t, _ in rows]
     refs = {}
-    for lang in rules.LANGUAGES:
+    for lang in {r[2] for r in rows} - {None}:
         mine = [h for h, f, r in zip(hist, failed, rows) if r[2] == lang and not f]
         if mine:
             refs[lang] = [[sum(col) / sum(map(sum, zip(*part))) for col in zip(*part)] for part in zip(*mine)]
     out = []
-    for (doc_id, _, _), b, f, (c, w) in zip(rows, base, failed, hist):
-        near = min(((js(c, rc) + js(w, rw), js(c, rc), js(w, rw), lang) for lang, (rc, rw) in refs.items()), default=None) if b[0] >= 50 else None
-        close = near is None or near[1] <= 0.30 and (near[2] <= 0.295 or b[0] < 100)
+    for (doc_id, _, label), b, f, (c, w) in zip(rows, base, failed, hist):
+        mine = {lang: ref for lang, ref in refs.items() if lang in rules.LANGUAGES or lang == label}
+        near = min(((js(c, rc) + js(w, rw), js(c, rc), js(w, rw), lang) for lang, (rc, rw) in mine.items()), default=None) if b[0] >= 50 else None
+        other = label in refs and label not in rules.LANGUAGES
+        close = near is None or near[1] <= 0.30 and (near[2] <= 0.295 or b[0] < 100 or other)
         out.append((doc_id, *b, f, not f and close, near[3] if near else None, near[1] if near else None, near[2] if near else None))
     return out
 
@@ -87,6 +89,22 @@ def test_edges_of_the_table(frame):
     assert rules.report(frame([])).collect() == [] and rules.keep(frame([])).collect() == []
 
 
+LATIN = [" ".join(f"{w}{'aeiou'[(i + k) % 5]}{'s' * (k // 5)}" for k in range(9) for w in "amic rosar puer consul terr magn vir lumin cael urb silv port".split()) for i in range(5)]
+CYRILLIC = [" ".join(f"{w}{'аеиоу'[(i + k) % 5]}{'м' * (k // 5)}" for k in range(9) for w in "стран город дорог книг вод лес мор рук голов земл ветер огон".split()) for i in range(5)]
+ENGLISH = ["the river of the town is near to a hill and it was quiet in that year for us " + "it is for the house of that man and he was in it to see " + " ".join(f"word{i}x{k}" for k in range(30)) for i in range(5)]
+
+
+def test_clean_texts_of_a_language_without_known_words_stay(frame):
+    rows = [(i, t, "en") for i, t in enumerate(ENGLISH)] + [(10 + i, t, "la") for i, t in enumerate(LATIN)] + [(20 + i, t, "ru") for i, t in enumerate(CYRILLIC)]
+    rows += [(30, LATIN[0], "en"), (31, LATIN[0], None), (32, "#$% <&> 12 | * " * 30, "la"), (33, LATIN[0], "zz")]
+    want = brute(rows)
+    same(rules.report(frame(rows)).collect(), want)
+    kept = {r.doc_id for r in rules.keep(frame(rows)).collect()}
+    assert kept == {r[0] for r in want if r[7]}
+    assert {10, 11, 12, 13, 14, 20, 21, 22, 23, 24, 33} <= kept and not kept & {31, 32}
+    assert {r[8] for r in want if 20 <= r[0] < 30} == {"ru"}
+
+
 def test_symbols_and_lists_without_function_words_go(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
