@@ -210,6 +210,6 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    described = describe(docs.select("text", "lang"))
-    return judge(describe(docs), *references(described)).where("_dr_verdict.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass, with their own columns. Counts are taken once and written with the documents."""
+    described = stage(describe(docs), "divergence-counts")
+    return judge(described, *references(described)).where("_dr_verdict.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
