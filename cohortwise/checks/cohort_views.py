@@ -22,10 +22,13 @@ LOOKUPS = ["areas", "ethnicity", "project_names", "projects", "excluded_transact
 
 
 def cohort(spark: SparkSession, path: str, staged: bool | Collection[str] = False) -> Cohort:
-    """The cohort of a directory; ``staged`` names the frames to write out, or True for all."""
+    """The cohort of a directory; ``staged`` names the frames to write out, or True for all. A staged person table serves all base frames."""
     src = Source(spark, path)
     stage = io.staged(spark, None if staged is True else staged) if staged else None
-    return Cohort(Views(src, RAW), Views(src, LOOKUPS), LATEST_ONLY_ORG, BAD_TRANSACTIONS, stage=stage)
+    c = Cohort(Views(src, RAW), Views(src, LOOKUPS), LATEST_ONLY_ORG, BAD_TRANSACTIONS, stage=stage)
+    if staged is True or (staged and "persons" in staged):
+        _ = c.persons
+    return c
 
 
 def site_codes(spark: SparkSession) -> DataFrame:

@@ -57,7 +57,7 @@ FROM ped p LEFT JOIN ev_diag e ON p.event_key = e.event_key LEFT JOIN diag_all g
 
 
 # What these queries read more than once.
-STAGED = {"invite", "check", "checks", "scan", "clean_scans", "pool", "events", "timeline", "diagnoses", "cube"}
+STAGED = {"invite", "measurement", "persons", "check", "checks", "scan", "clean_scans", "pool", "events", "timeline", "diagnoses", "cube"}
 
 
 @query("people_universe", "SELECT ParticipantID, projects, project_mode, tables FROM pool")

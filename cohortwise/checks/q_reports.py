@@ -157,7 +157,7 @@ for _m in REPORTED:
 
 
 def overview_rows(spark, path):
-    c = views.cohort(spark, path, staged={"invite", "check", "first_checks", "scan"})
+    c = views.cohort(spark, path, staged={"invite", "persons", "check", "checks", "first_checks", "scan"})
     return reports.overview({m: reshape.union_all([metrics.records(c, i, KEEP) for i in ids]) for m, ids in REPORTED.items()})
 
 

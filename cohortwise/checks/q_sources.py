@@ -171,7 +171,7 @@ def report_pair_load(spark, path):
     for n, b in [("invites", "b_invites"), ("checks", "b_checks"), ("measurements", "b_meas"), ("scans", "b_scans"),
                  ("diagnostics", "b_diag"), ("history", "b_history"), ("smoking", "b_smoking")]))
 def base_frames(spark, path):
-    c = views.cohort(spark, path, staged={"invite", "check", "first_checks", "scan"})
+    c = views.cohort(spark, path, staged={"invite", "measurement", "persons", "check", "checks", "first_checks", "scan"})
     names = ["invites", "checks", "measurements", "scans", "diagnostics", "history", "smoking"]
     return reshape.union_all([
         getattr(c, n).groupBy("project").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ParticipantID").alias("people"))

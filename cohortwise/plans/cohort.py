@@ -4,7 +4,7 @@ risk and first check attached. Frames are lazy; each is built at most once."""
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,9 @@ from cohortwise.plans import tables, vocab
 
 PERSON_COLUMNS = ["ccg_code", "age_validity", "age_band", "age_band_five", "age_band_eval", "sex", "ethnic_group",
                   "imd_decile", "rurality"]
+#: What a person's row holds, by the frame it comes from.
+PERSON_PARTS = {"people": PERSON_COLUMNS, "eligibility": ["eligible", "first_letter_date"], "risk": ["plco_risk", "llp_risk"]}
+ID = "ParticipantID"
 
 
 class Cohort:
@@ -29,9 +32,9 @@ class Cohort:
 
     def __init__(self, raw: Mapping[str, DataFrame], lookups: Mapping[str, DataFrame],
                  latest_only_org: str | None = None, bad_transactions: Sequence[int] = (),
-                 programme: str = "PROGRAMME", stage: Callable[[DataFrame, str], DataFrame] | None = None):
+                 programme: str = "PROGRAMME", stage: Callable[..., DataFrame] | None = None):
         self.raw, self.lookups = raw, lookups
-        self.stage = stage or (lambda df, name: df)
+        self.stage = stage or (lambda df, name, key=None: df)
         self._current: dict[str, DataFrame] = {}
         self.latest_only_org, self.bad_transactions, self.programme = latest_only_org, bad_transactions, programme
 
@@ -42,7 +45,7 @@ class Cohort:
         if name not in self._current:
             chosen = tables.current_records(self.raw[name], tables.RECORD_KEYS[name],
                                             self.lookups.get("excluded_transactions"), self.lookups.get("excluded_people"), name)
-            self._current[name] = tables.tag_submission(self.stage(chosen, name), self.latest_only_org, self.bad_transactions)
+            self._current[name] = tables.tag_submission(self.stage(chosen, name, ID), self.latest_only_org, self.bad_transactions)
         return self._current[name]
 
     @cached_property
@@ -56,7 +59,8 @@ class Cohort:
     @cached_property
     def clean_scans(self) -> DataFrame:
         scans = tables.clean_scan(self.current("scan"))
-        return self.stage(tables.time_scans(tables.correct_scan_dates(scans, self.clean_invites)), "clean_scans")
+        letters = self.persons if "persons" in self.__dict__ else self.clean_invites
+        return self.stage(tables.time_scans(tables.correct_scan_dates(scans, letters)), "clean_scans", ID)
 
     @cached_property
     def clean_measurements(self) -> DataFrame:
@@ -68,23 +72,34 @@ class Cohort:
     def people(self) -> DataFrame:
         return self.demographics.select("ParticipantID", F.col("CCG_Code").alias("ccg_code"), *PERSON_COLUMNS[1:])
 
-    def with_project(self, df: DataFrame) -> DataFrame:
-        return joins.name_projects(df.join(self.people, "ParticipantID", "left"), self.lookups["project_names"])
-
     @cached_property
     def eligibility(self) -> DataFrame:
-        return self.clean_invites.select("ParticipantID", "eligible", "first_letter_date").distinct()
+        return self.clean_invites.select(ID, *PERSON_PARTS["eligibility"]).distinct()
+
+    @cached_property
+    def risk(self) -> DataFrame:
+        return self.clean_measurements.select(ID, *PERSON_PARTS["risk"]).distinct()
+
+    @cached_property
+    def persons(self) -> DataFrame:
+        """One row per person of demographics, invites or measurements, with all that the base frames take from these."""
+        parts = [getattr(self, p) for p in PERSON_PARTS]
+        return self.stage(reduce(lambda a, b: a.join(b, ID, "full"), parts), "persons", ID)
 
-    def with_eligibility(self, df: DataFrame) -> DataFrame:
-        return df.join(self.eligibility, "ParticipantID", "left")
+    def with_person(self, df: DataFrame, needs: Sequence[str]) -> DataFrame:
+        """Columns of the person: from the person table once that exists, else from each part that is asked for."""
+        if "persons" in self.__dict__:
+            return df.join(self.persons.select(ID, *[c for n in needs for c in PERSON_PARTS[n]]), ID, "left")
+        return reduce(lambda d, n: d.join(getattr(self, n), ID, "left"), needs, df)
 
-    def with_risk(self, df: DataFrame) -> DataFrame:
-        risk = self.clean_measurements.select("ParticipantID", "plco_risk", "llp_risk")
-        return df.join(risk.distinct(), "ParticipantID", "left")
+    def with_project(self, df: DataFrame, needs: Sequence[str] = ()) -> DataFrame:
+        """The person's columns and the project. All joins by person come before the naming, so that they meet rows as they are bucketed."""
+        df = self.with_person(df, ["people", *(n for n in needs if n in PERSON_PARTS)])
+        df = self.with_first_check(df) if "first_check" in needs else df
+        return joins.name_projects(df, self.lookups["project_names"])
 
     def with_first_check(self, df: DataFrame) -> DataFrame:
-        first = self.first_checks.select("ParticipantID", "check_month", "check_date")
-        return df.join(first, "ParticipantID", "left")
+        return df.join(self.first_checks.select(ID, "check_month", "check_date"), ID, "left")
 
     # --- base frames
 
@@ -94,7 +109,7 @@ class Cohort:
 
     @cached_property
     def checks(self) -> DataFrame:
-        return self.stage(self.with_eligibility(self.with_project(tables.clean_check(self.current("check")))), "checks")
+        return self.stage(self.with_project(tables.clean_check(self.current("check")), ["eligibility"]), "checks", ID)
 
     @cached_property
     def first_checks(self) -> DataFrame:
@@ -103,28 +118,25 @@ class Cohort:
             counted(True) & F.col("check_month").isNotNull() & (F.col("attendance_category") == "Attended"))
         outside = F.when(F.col("check_date") > vocab.PREFERRED_AFTER, 0).otherwise(1)
         ties = [F.col("CSURowNumber"), F.col("LHC_Date")]
-        return self.stage(select.top_per_key(attended, ["ParticipantID"], [outside, F.col("check_date"), *ties]), "first_checks")
+        return self.stage(select.top_per_key(attended, ["ParticipantID"], [outside, F.col("check_date"), *ties]), "first_checks", ID)
 
     @cached_property
     def measurements(self) -> DataFrame:
-        return self.with_first_check(self.with_eligibility(self.with_project(self.clean_measurements)))
+        return self.with_project(self.clean_measurements, ["eligibility", "first_check"])
 
     @cached_property
     def scans(self) -> DataFrame:
-        return self.stage(self.scan_frame(("eligibility", "risk", "first_check")), "scans")
+        return self.stage(self.scan_frame(("eligibility", "risk", "first_check")), "scans", ID)
 
     def scan_frame(self, needs: Sequence[str]) -> DataFrame:
         """Scans with only the joins that are asked for; the full frame once that exists."""
         if "scans" in self.__dict__:
             return self.scans
-        df = self.with_project(self.clean_scans)
-        for need, add in [("eligibility", self.with_eligibility), ("risk", self.with_risk), ("first_check", self.with_first_check)]:
-            df = add(df) if need in needs else df
-        return df
+        return self.with_project(self.clean_scans, needs)
 
     @cached_property
     def diagnostics(self) -> DataFrame:
-        return self.with_eligibility(self.with_project(tables.clean_diagnostics(self.current("diagnostics"))))
+        return self.with_project(tables.clean_diagnostics(self.current("diagnostics")), ["eligibility"])
 
     @cached_property
     def history(self) -> DataFrame:
@@ -132,7 +144,7 @@ class Cohort:
 
     @cached_property
     def smoking(self) -> DataFrame:
-        return self.with_eligibility(self.with_project(tables.clean_smoking(self.current("smoking"))))
+        return self.with_project(tables.clean_smoking(self.current("smoking")), ["eligibility"])
 
     def findings(self, column: str, terms: Sequence[str]) -> DataFrame:
         """One row per finding in the free text, with its closest accepted term."""

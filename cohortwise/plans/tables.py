@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortwise.functions import clean, dates
@@ -165,10 +165,12 @@ def correct_scan_dates(scans: DataFrame, invites: DataFrame) -> DataFrame:
 def time_scans(scans: DataFrame) -> DataFrame:
     """Days and complete months from the first performed scan, and the category of each scan.
 
-    One grouped minimum joined back; no window is needed for these columns.
+    A person has one current scan a date, so the window over a person's scans is no longer than the calendar. Rows that
+    are in buckets of the person are read once and not moved.
     """
-    first = windows.first_event_date(scans, "ParticipantID", "scan_date", F.col("scan_outcome") == vocab.PERFORMED)
-    return (scans.join(first, "ParticipantID", "left")
+    performed = F.when(F.col("scan_outcome") == vocab.PERFORMED, F.col("scan_date"))
+    first = F.when(F.col("ParticipantID").isNotNull(), F.min(performed).over(Window.partitionBy("ParticipantID")))
+    return (scans.withColumn("first_date", first)
             .withColumn("days_from_first", dates.days_between("first_date", "scan_date"))
             .withColumn("months_from_first", dates.complete_months("first_date", "scan_date"))
             .withColumn("scan_category", windows.scan_category("days_from_first")))

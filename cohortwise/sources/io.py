@@ -42,6 +42,24 @@ def save_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Write a table in buckets of a key, as many as shuffle partitions if not given, and read it back.
+
+    Tables of one number of buckets join and group by that key without a shuffle. A bucket is one file, written by one
+    task: for tables whose rows per key are bounded, such as current records.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = _table_name(path)
+    (df.repartition(buckets, key).write.format("parquet").mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return spark.table(name)
+
+
+def _table_name(path: str) -> str:
+    return "staged_" + re.sub(r"\W", "_", path.rstrip("/").rsplit("/", 1)[-1])
+
+
 def save_by_month(df: DataFrame, path: str, received: str = "ReceivedDate") -> DataFrame:
     """A snapshot with one folder per month of receipt (column received_month, yyyy-MM)."""
     return save_snapshot(df.withColumn("received_month", F.date_format(received, "yyyy-MM")), path, ["received_month"])
@@ -166,6 +184,7 @@ def release(spark: SparkSession) -> None:
     """Remove the staged tables of this run: by hand once no frame reads them any more, and when the program ends."""
     context = spark.sparkContext
     while _WRITTEN and context._jsc is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(_WRITTEN[-1])}")
         path = context._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -174,6 +193,11 @@ def staged(spark: SparkSession, only: Collection[str] | None = None):
     """Stage function for plans.Cohort: write a frame to the shared folder and read it back.
 
     The written table survives lost executors, ends the lineage, and later steps read
-    only the columns they need.
+    only the columns they need. A frame that comes with a key is written in buckets of it.
     """
-    return lambda df, name: save_snapshot(df, fresh_path(spark, name)) if only is None or name in only else df
+    def stage(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
+        if only is not None and name not in only:
+            return df
+        path = fresh_path(spark, name)
+        return save_snapshot(df, path) if key is None else save_bucketed(df, path, key)
+    return stage
