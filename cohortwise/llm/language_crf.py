@@ -8,10 +8,14 @@ documents and the field has to label code-switched text; SWITCH is the chance th
 
 Labels of words are the posterior marginals of forward-backward over the whole document, exact for any length: the chain is cut
 into blocks, the product of each block's transfer matrices carries the messages from block to block, and all blocks of many
-documents are worked through at once. A document's language is that with the largest mean marginal, which is its score.
+documents are worked through at once. Chains longer than a slice are worked through slice by slice: once forward for the messages at
+the cuts, then backward for the marginals, so memory is bounded for any length. A document's language is that with the largest mean
+marginal, which is its score.
 
 Learning uses a bounded sample: of each language the SAMPLE documents with the smallest hash of their id, of the rows that may be
-learned from (see common.held_out) and have a language. Only text and language are used.
+learned from (see common.held_out) and have a language, and SAMPLE_WORDS words of them. Every language that occurs is learned; with
+many, each gives fewer words, so that words times languages, over all languages, stay within CELLS (CHAIN words each at least). Every feature that two words of the
+sample share has weights, and a word has all its trigrams. Only text and language are used.
 
 Defined results: a missing text or one without letters is `und` with score 0. Nothing to learn from: every document is `und`
 with score 0. Missing languages are not learned. Repeated rows are judged alike. Equal means: the first language in the alphabet.
@@ -33,14 +37,17 @@ from pyspark.sql import types as T
 
 from cohortwise.llm.common import held_out
 
-#: Bounds of learning: documents and words per language, languages, features.
-SAMPLE, SAMPLE_WORDS, MOST_LANGUAGES, MOST_FEATURES = 120, 60_000, 32, 30_000
+#: Bounds of the sample: documents and words per language, words times languages over all languages.
+SAMPLE, SAMPLE_WORDS, CELLS = 120, 60_000, 60_000_000
+#: Languages up to which the ids of the sample are broadcast; those of more are joined by a shuffle.
+SENT = 4096
 SPAN, CHAIN, SWITCH = 16, 128, 0.5
-LEXICON = 400
 EPOCHS, RATE, DECAY = 30, 0.15, 1e-3
 UNKNOWN = "und"
-#: Words whose scores one Python worker remembers; words worked through at a time; words of a block.
+#: Words whose scores one Python worker remembers; words worked through at a time; words of a block. With many languages fewer words
+#: are remembered and worked through, so that scores and block products hold at most SCORES and PRODUCTS numbers.
 REMEMBERED, SLICE, BLOCK = 1 << 19, 1 << 20, 32
+SCORES, PRODUCTS = 1 << 24, 1 << 23
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -56,7 +63,7 @@ def has_letter(words: list[str]) -> bool:
 def features_of(word: str, lexicon: dict[str, list[str]]) -> list[str]:
     marked = f"^{word}$"
     return ["", *(f"p{word[:k]}" for k in (1, 2, 3)), *(f"s{word[-k:]}" for k in (1, 2, 3)),
-            *(f"g{marked[k:k + 3]}" for k in range(min(len(marked) - 2, 24))), *(f"l{x}" for x in lexicon.get(word, ()))]
+            *(f"g{marked[k:k + 3]}" for k in range(len(marked) - 2)), *(f"l{x}" for x in lexicon.get(word, ()))]
 
 
 @dataclass
@@ -97,12 +104,18 @@ def _messages(e: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return gamma, pairs, scale, float(np.log(scale).sum())
 
 
+def words_each(languages: int) -> int:
+    """Words that each of a number of languages gives to the sample."""
+    return min(SAMPLE_WORDS, max(CHAIN, CELLS // max(1, languages) ** 2))
+
+
 def train(samples: list[tuple[str, str]], seed: int = 7) -> Model | None:
     """Fit the field to (language, text) samples."""
     texts: dict[str, list[list[str]]] = {}
+    most = words_each(len({language for language, _ in samples}))
     for language, text in sorted(samples):
         held = texts.setdefault(language, [])
-        if (left := SAMPLE_WORDS - sum(map(len, held))) > 0 and (words := words_of(text)[:left]):
+        if (left := most - sum(map(len, held))) > 0 and (words := words_of(text)[:left]):
             held.append(words)
     texts = {k: v for k, v in texts.items() if v}
     if not texts:
@@ -115,7 +128,7 @@ def train(samples: list[tuple[str, str]], seed: int = 7) -> Model | None:
     lexicon: dict[str, list[str]] = {}
     for language, own in counts.items():
         typical = [w for w, c in own.items() if c >= 3 and c >= 0.6 * whole[w]]
-        for w in sorted(typical, key=lambda w: (-own[w], w))[:LEXICON]:
+        for w in sorted(typical):
             lexicon.setdefault(w, []).append(language)
 
     rng = np.random.default_rng(seed)
@@ -144,7 +157,7 @@ def train(samples: list[tuple[str, str]], seed: int = 7) -> Model | None:
 
     distinct = {w: i for i, w in enumerate(dict.fromkeys(w for ws, _ in chains for w in ws))}
     met = Counter(f for w in distinct for f in features_of(w, lexicon))
-    kept = [f for f, c in sorted(met.items(), key=lambda x: (-x[1], x[0]))[:MOST_FEATURES] if c >= 2 or len(distinct) < 1000]
+    kept = [f for f, c in sorted(met.items(), key=lambda x: (-x[1], x[0])) if c >= 2 or len(distinct) < 1000]
     index = {f: i for i, f in enumerate(kept)}
     rows, columns = [], []
     for w, i in distinct.items():
@@ -183,12 +196,14 @@ def train(samples: list[tuple[str, str]], seed: int = 7) -> Model | None:
 def sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[str, str]]:
     """(language, text) of a bounded number of documents per language; ids are chosen first, texts are fetched for these alone."""
     usable = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    common = [r[0] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (usable.where(F.col("lang").isin(common)).select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
+    chosen = (usable.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
               .where(F.col("rank") <= per_language).select("doc_id", "lang").distinct())
-    got = usable.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")  # at most per_language * MOST_LANGUAGES ids
-    got = got.withColumn("text", F.substring("text", 1, 8 * SAMPLE_WORDS)).dropDuplicates(["doc_id", "lang"])
+    languages = usable.select("lang").distinct().count()
+    ids = F.broadcast(chosen) if languages <= SENT else chosen  # per_language ids of each
+    most = words_each(languages)
+    got = usable.join(ids, ["doc_id", "lang"], "left_semi")
+    got = got.withColumn("text", F.substring("text", 1, 8 * most)).dropDuplicates(["doc_id", "lang"])
     return [(r["lang"], r["text"]) for r in got.select("lang", "text").collect()]
 
 
@@ -199,12 +214,13 @@ class Labeller:
         self.model, self.n = model, len(model.languages)
         t = np.exp(model.transitions - model.transitions.max())
         self.t = t.astype(np.float32)
+        self.remembered, self.slice = min(REMEMBERED, SCORES // self.n), max(BLOCK, min(SLICE, PRODUCTS // self.n ** 2 * BLOCK))
         self.known: dict[str, int] = {}
         self.table = np.empty((1024, self.n), np.float32)
 
     def _rows(self, documents: list[list[str]]) -> np.ndarray:
         new = {w for words in documents for w in words if w not in self.known}
-        if len(self.known) + len(new) > REMEMBERED:
+        if len(self.known) + len(new) > self.remembered:
             self.known.clear()
             new = {w for words in documents for w in words}
         need = len(self.known) + len(new)
@@ -230,12 +246,33 @@ class Labeller:
 
     def means(self, documents: list[list[str]]) -> np.ndarray:
         """Mean marginal of each language in each document; no document may be empty."""
-        marginals, sizes = self.marginals(documents)
+        marginals, sizes, _ = self.marginals(documents)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         return np.add.reduceat(marginals, starts, axis=0, dtype=np.float64) / sizes[:, None]
 
-    def marginals(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """A row of marginals for each word, documents one after the other, and the documents' numbers of words."""
+    def long_marginals(self, words: list[str]) -> Iterator[np.ndarray]:
+        """Marginals of one document of any length, slice by slice from its end."""
+        parts = [words[at:at + self.slice] for at in range(0, len(words), self.slice)]
+        ahead = [np.ones(self.n, np.float32)]
+        for part in parts[:-1]:
+            e = self.table[self._rows([part])]
+            v = ahead[-1]
+            for row in e:
+                v = (v @ self.t) * row
+                v /= v.sum()
+            ahead.append(v)
+        behind = np.ones(self.n, np.float32)
+        for part, v in zip(reversed(parts), reversed(ahead)):
+            out, _, behind = self.marginals([part], v, behind)
+            yield out
+
+    def long_mean(self, words: list[str]) -> np.ndarray:
+        return sum(part.sum(axis=0, dtype=np.float64) for part in self.long_marginals(words)) / len(words)
+
+    def marginals(self, documents: list[list[str]], before: np.ndarray | None = None,
+                  after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A row of marginals for each word, documents one after the other, the documents' numbers of words, and the message from the first
+        document's first word backward. `before` and `after` are the messages that reach the first and the last word of a single document."""
         n, t = self.n, self.t
         sizes = np.array([len(d) for d in documents])
         blocks = -(-sizes // BLOCK)
@@ -259,6 +296,8 @@ class Labeller:
                 product /= product.max(axis=(1, 2), keepdims=True)
 
         ahead, behind = np.ones((total, n), np.float32), np.ones((total, n), np.float32)
+        if before is not None:
+            ahead[0], behind[-1] = before, after
         order = np.argsort(-blocks, kind="stable")
         ranked = blocks[order]
         for b in range(1, int(ranked[0])):
@@ -284,7 +323,7 @@ class Labeller:
             out[place[i][valid[i]]] = g[valid[i]]
             step = (e[i] * b) @ t.T
             b = np.where(valid[i][:, None], step / step.sum(axis=1, keepdims=True), b)
-        return out, sizes
+        return out, sizes, b[0]
 
 
 _LABELLERS: dict[str, Labeller] = {}
@@ -306,21 +345,26 @@ def _judge(texts: list[str | None], labeller: Labeller | None) -> tuple[list[str
         return names, scores
     held, size = [], 0
 
+    def decide(k: int, mean: np.ndarray):
+        best = int(mean.argmax())
+        names[k], scores[k] = labeller.model.languages[best], min(1.0, float(mean[best]))
+
     def flush():
-        means = labeller.means([words for _, words in held])
-        best = means.argmax(axis=1)
-        for (k, _), row, b in zip(held, means, best):
-            names[k], scores[k] = labeller.model.languages[b], min(1.0, float(row[b]))
+        for (k, _), mean in zip(held, labeller.means([words for _, words in held])):
+            decide(k, mean)
 
     for k, text in enumerate(texts):
         words = words_of(text)
         if not words or not has_letter(words):
             continue
-        held.append((k, words))
-        size += len(words)
-        if size >= SLICE:
+        if len(words) > labeller.slice:
+            decide(k, labeller.long_mean(words))
+            continue
+        if size + len(words) > labeller.slice:
             flush()
             held, size = [], 0
+        held.append((k, words))
+        size += len(words)
     if held:
         flush()
     return names, scores
@@ -351,7 +395,7 @@ def label_words(docs: DataFrame, model: Model, text: str = "text", into: str = "
             out = []
             for value in b.column(text).to_pylist():
                 words = words_of(value)
-                rows = labeller.marginals([words])[0] if words else []
+                rows = np.concatenate([*labeller.long_marginals(words)][::-1]) if words else []
                 out.append([{"word": w, "lang": model.languages[int(r.argmax())], "p": float(r.max())} for w, r in zip(words, rows)])
             kind = pa.list_(pa.struct([("word", pa.string()), ("lang", pa.string()), ("p", pa.float64())]))
             yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in kept], pa.array(out, kind)], names=[*[f.name for f in kept], into])

@@ -50,7 +50,7 @@ def test_blocks_carry_messages_over_any_length(model):
     rng = np.random.default_rng(3)
     pool = ["the", "of", "ción", "und", "eau", "le", "que", "x", "thing", "schen", "ñ"]
     documents = [[pool[i] for i in rng.integers(0, len(pool), n)] for n in (1, 2, 31, 32, 33, 64, 65, 700, 5, 96)]
-    got, sizes = crf.Labeller(model).marginals(documents)
+    got, sizes, _ = crf.Labeller(model).marginals(documents)
     assert np.allclose(got, np.concatenate([in_log_space(model, d) for d in documents]), atol=1e-4)
     means = crf.Labeller(model).means(documents)
     assert np.allclose(means, [in_log_space(model, d).mean(axis=0) for d in documents], atol=1e-4)
@@ -109,3 +109,39 @@ def test_held_out_accuracy(spark, small):
 def test_words_with_their_languages(spark, frame, model):
     got = crf.label_words(frame([(1, "the of und"), (2, None)]), model).orderBy("doc_id").collect()
     assert [w.word for w in got[0].words] == ["the", "of", "und"] and got[1].words == []
+
+
+def test_a_word_has_all_its_trigrams():
+    word = "abcdefghijklmnopqrstuvwxyz" + "nopqrstuvwxyzabcd"
+    marked = f"^{word}$"
+    assert {f[1:] for f in crf.features_of(word, {}) if f[:1] == "g"} == {marked[k:k + 3] for k in range(len(word))} and len(word) == 43
+
+
+def test_slices_of_a_long_document_give_the_marginals_of_the_whole(model):
+    rng = np.random.default_rng(5)
+    pool = ["the", "of", "ción", "und", "eau", "le", "que", "x", "schen"]
+    for size in (1, 63, 64, 65, 300):
+        words = [pool[i] for i in rng.integers(0, len(pool), size)]
+        labeller = crf.Labeller(model)
+        labeller.slice = 64
+        got = np.concatenate([*labeller.long_marginals(words)][::-1])
+        assert np.allclose(got, in_log_space(model, words), atol=1e-4)
+        assert np.allclose(labeller.long_mean(words), in_log_space(model, words).mean(axis=0), atol=1e-4)
+
+
+def test_judgement_by_slices_is_that_of_whole_texts(model):
+    texts = ["the of the thing " * 90, "und schen", None, "le que eau " * 40, "x"] * 3
+    whole, sliced = crf.Labeller(model), crf.Labeller(model)
+    sliced.slice = 64
+    (names, scores), (same, near) = crf._judge(texts, whole), crf._judge(texts, sliced)
+    assert names == same and np.allclose(scores, near, atol=1e-4)
+
+
+def test_more_languages_than_there_are_letters(frame):
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"l{i:02}" for i in range(40)]
+    own = lambda i: [a + alphabet[i % 26] + b + alphabet[(i * 7 + i // 26) % 26] for a in alphabet[:6] for b in alphabet[10:16]]
+    docs = frame([(i * 10 + k, " ".join(own(i) * 3), names[i]) for i in range(40) for k in range(5)])
+    got = crf.identify(docs).collect()
+    assert len(got) == 200 and np.mean([r.lang_pred == names[r.doc_id // 10] for r in got]) > 0.97
+    assert crf.words_each(4) == crf.SAMPLE_WORDS and crf.words_each(200) * 200 * 200 <= crf.CELLS
