@@ -46,7 +46,7 @@ EPOCHS, RATE, DECAY = 30, 0.15, 1e-3
 UNKNOWN = "und"
 #: Words whose scores one Python worker remembers; words worked through at a time; words of a block. With many languages fewer words
 #: are remembered and worked through, so that scores and block products hold at most SCORES and PRODUCTS numbers.
-REMEMBERED, SLICE, BLOCK = 1 << 19, 1 << 20, 32
+REMEMBERED, SLICE, BLOCK = 1 << 19, 1 << 18, 32
 SCORES, PRODUCTS = 1 << 24, 1 << 23
 
 _WORD = re.compile(r"[^\W\d_]+")
