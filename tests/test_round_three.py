@@ -6,7 +6,10 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from cohortwise.checks import all_queries
+from cohortwise.checks import cohort_views as views
 from cohortwise.functions import dates
+from cohortwise.operators import joins
+from cohortwise.sources import io
 from cohortwise.sources.fixtures import Source
 
 QUERIES = all_queries.QUERIES
@@ -40,3 +43,45 @@ def test_long_expressions_of_the_views_are_compiled(spark, small):
     s = Source(spark, small)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
     assert s.fx("fx_scan").agg(F.count("LDCT_Date")).first()[0] == s.table("lineitem").count()
+
+
+def rows(df):
+    return Counter(map(tuple, df.select(sorted(df.columns)).collect()))
+
+
+def test_rows_that_lie_by_person_are_not_moved_again_when_written(spark, small, monkeypatch):
+    frame, moved = type(spark.range(1)), []
+    monkeypatch.setattr(frame, "repartition", lambda df, *a, old=frame.repartition: moved.append(a) or old(df, *a))
+    c, plain = views.cohort(spark, small, {"invite", "scan", "clean_scans", "persons"}), views.cohort(spark, small)
+    assert rows(c.current("invite")) == rows(plain.current("invite"))
+    assert rows(c.clean_scans) == rows(plain.clean_scans)
+    assert len(moved) == 1  # scans are selected by person and date
+
+
+def test_a_written_frame_has_the_columns_that_are_read(spark, small):
+    kept = {"checks": ["ParticipantID", "check_month"]}
+    c, plain = views.cohort(spark, small, {"checks"}, kept), views.cohort(spark, small)
+    assert c.checks.columns == kept["checks"]
+    assert rows(c.checks) == rows(plain.checks.select(*kept["checks"]))
+
+
+def test_tasks_on_raw_records_get_less_input_unless_the_session_says_how_much(spark, small):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        Source(spark, small)
+        assert spark.conf.get(name) == io.TASK_INPUT[name]
+        spark.conf.set(name, "32m")
+        Source(spark, small)
+        assert spark.conf.get(name) == "32m"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_scored_tokens_are_written_before_they_are_joined(spark):
+    df = spark.createDataFrame([(1, "noduel"), (2, "nodule"), (3, None), (4, "cyst"), (5, "cyst")], "i int, token string")
+    seen = []
+    got = joins.closest_terms(df, "token", ["nodule", "cysts"], lambda scored: seen.append(scored.count()) or scored)
+    assert seen == [3]
+    assert rows(got) == rows(joins.closest_terms(df, "token", ["nodule", "cysts"]))
