@@ -106,15 +106,15 @@ class UnitEncoder:
 
     UNIT = re.compile(rf"\s*[{_LETTERS}]++(?=[\s!-@\[-`{{-~]|\Z)|\s*\S+|\s+")
     WORD = re.compile(f" [{_LETTERS}]+")
-    ODD = re.compile("[\x1c-\x1f]")
+    ODD = "\x1c\x1d\x1e\x1f"
 
     def __init__(self, path: str, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; the library's own threads keep memory each
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
-        names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
-        self.whole = re.compile("|".join([self.ODD.pattern, *names]))
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.whole = [*self.ODD, *names]
         vocabulary = self.tokenizer.get_vocab()
         self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
         self.kind = f"<u{self.width}"
@@ -146,7 +146,7 @@ class UnitEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        whole = [bool(self.whole.search(t)) for t in texts]
+        whole = [any(w in t for w in self.whole) for t in texts]
         values = iter(self.remembered(self.UNIT.findall(t) for t, w in zip(texts, whole) if not w))
         return [self._ids(t).tobytes() if w else b"".join(next(values)) for t, w in zip(texts, whole)]
 
