@@ -9,14 +9,14 @@ Words are counted first. Then the texts are written once as stretches of numbers
 
 Growth: the frontier holds prefixes that were counted but not extended. Each pass over the stretches extends the prefixes of the
 highest bounds (those whose first word is among the rarest, STEP times more frequent ones in each later pass, and all longer
-ones) by one word, and counts the parts that scores still lack. A pass ends with each language's TOP-th surviving score; prefixes
+ones) by one word, and counts the parts that scores still lack: by hash first, then those with a frequent hash by their words. A pass ends with each language's TOP-th surviving score; prefixes
 whose bound is below it are never extended, parts of phrases that cannot reach it never counted. Growth ends when no prefix and
 no phrase reaches it any more, ties included.
 
 A candidate is dropped if a longer one has the same count: then all its occurrences have the same word before them, or the
 same word after them. Each pass keeps the lowest and highest hash of the neighbours, so that this needs no further counts.
 
-Tasks learn what to count from three bit tables of hashes (frequent words, prefixes to extend, parts to count) of at most 2^27
+Tasks learn what to count from bit tables of hashes (frequent words, prefixes to extend, parts to count, beginnings of both) of at most 2^27
 bits each. A false positive only counts a phrase too many, whose count is right as well. Phrases are told apart by their words, not by hashes.
 
 Defined results: missing texts are empty, a missing language is `und`, languages are told apart as they stand. Repeated rows count as often as
@@ -26,11 +26,12 @@ they occur. Texts are worked through in slices cut at spaces, so that long ones
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ from cohortwise.llm.common import stage, utf8
 WORDS, LEAST, TOP = 5, 100, 2000
 #: Growth of the first words' counts from one pass to the next.
 STEP = 64
+#: Phrases are counted by hash first where prefixes to extend make up more than one in so many words.
+MANY = 8
 #: Least and most bits of a bit table, and bits for each entry as long as they suffice.
 LEAST_BITS, MOST_BITS, PER_ENTRY = 1 << 12, 1 << 27, 16
 #: Words that a task counts at once, words it remembers, and bytes of a text it splits at once.
@@ -49,7 +52,8 @@ _SCHEMA = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa
                      ("starts", pa.int64()), ("before_low", pa.int64()), ("before_high", pa.int64()),
                      ("ends", pa.int64()), ("after_low", pa.int64()), ("after_high", pa.int64())])
 _SPARK = "lang string, words int, phrase string, h long, a long, starts long, before_low long, before_high long, ends long, after_low long, after_high long"
-_BREAKS = [bytes([c]) for c in b".,;:!?\n\x0b\x0c\r"]
+#: A-Z in lower case, and one byte for all ends of pieces.
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz.........")
 
 
 def tokens(text: bytes) -> Iterator[list[bytes]]:
@@ -59,10 +63,8 @@ def tokens(text: bytes) -> Iterator[list[bytes]]:
         cut = at + SLICE
         if cut < len(text):
             cut = text.rfind(b" ", at, cut) + 1 or text.find(b" ", cut) + 1 or len(text)
-        part, at = text[at:cut].lower(), cut
-        for b in _BREAKS:
-            part = part.replace(b, b" . ")
-        yield part.split()
+        part, at = text[at:cut].translate(_PLAIN), cut
+        yield part.replace(b".", b" . ").split()
 
 
 class _Words(dict):
@@ -96,6 +98,10 @@ class Bits:
 
     def __init__(self, table: np.ndarray):
         self.table, self.mask = table, np.uint64(len(table) * 64 - 1)
+        self.view: memoryview | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"view": None}
 
     @classmethod
     def of(cls, hashes: DataFrame, column: str = "h") -> Bits | None:
@@ -113,25 +119,32 @@ class Bits:
         return cls(table)
 
     def holds(self, h: np.ndarray) -> np.ndarray:
-        found = np.ones(len(h), bool)
-        for s in self.SHIFTS:
+        found, left = np.zeros(len(h), bool), None
+        for s in self.SHIFTS:  # each probe looks only at what the ones before it let through
             spot = (h >> np.uint64(s)) & self.mask
-            found &= (self.table[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+            hit = np.flatnonzero((self.table[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1))
+            left, h = hit if left is None else left[hit], h[hit]
+        found[left] = True
         return found
 
-
     def has(self, h: int) -> bool:
-        mask = int(self.mask)
-        return all(int(self.table[((h >> s) & mask) >> 6]) >> ((h >> s) & 63) & 1 for s in self.SHIFTS)
+        """The same for one hash, byte by byte."""
+        if self.view is None:
+            self.view, self.top = memoryview(self.table.astype("<u8", copy=False)).cast("B"), int(self.mask)
+        view, top = self.view, self.top
+        for s in self.SHIFTS:
+            spot = (h >> s) & top
+            if not view[spot >> 3] >> (spot & 7) & 1:
+                return False
+        return True
 
 
 def _holds(bits: Bits | None, h: np.ndarray) -> np.ndarray:
     return np.zeros(len(h), bool) if bits is None else bits.holds(h)
 
 
-def _rows(langs: list[str], m: int, phrases: list[bytes], h: np.ndarray, *counts: np.ndarray) -> pa.RecordBatch:
-    text = pa.array(phrases, pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(np.full(len(langs), m, np.int32)), text, pa.array(h.view(np.int64)),
+def _rows(langs: pa.Array, m: int, phrases: pa.Array, h: np.ndarray, *counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([langs, pa.array(np.full(len(langs), m, np.int32)), phrases.cast(pa.string()), pa.array(h.view(np.int64)),
                                        *[pa.array(c.astype(np.int64)) for c in counts]], schema=_SCHEMA)
 
 
@@ -154,8 +167,9 @@ def count_words(texts: Iterator[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
             n = np.array([*count.values(), sum(count.values())], np.int64)
             h = np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
             zero = np.zeros(len(n), np.int64)
-            yield _rows([lang] * (len(n) - 1), 1, words[:-1], h[:-1], n[:-1], *[zero[:-1]] * 6)
-            yield _rows([lang], 0, words[-1:], h[-1:], n[-1:], *[zero[-1:]] * 6)
+            langs, words = pa.repeat(pa.scalar(lang, pa.string()), len(n)), pa.array(words, pa.binary())
+            yield _rows(langs[:-1], 1, words[:-1], h[:-1], n[:-1], *[zero[:-1]] * 6)
+            yield _rows(langs[-1:], 0, words[-1:], h[-1:], n[-1:], *[zero[-1:]] * 6)
         counts.clear()
 
     for lang, text in texts:
@@ -207,11 +221,11 @@ class Encoder:
             ids = ids[keep]
         upto = len(ids) if whole else len(ids) - self.longest - 1
         if upto > 1:
-            used, codes = np.unique(ids, return_inverse=True)
-            if used[0] != 0:
-                used, codes = np.concatenate([[0], used]), codes + 1
+            met = np.zeros(len(self.words), bool)
+            met[0] = met[ids] = True
+            used = np.flatnonzero(met)
             words = [self.words[i] for i in used.tolist()]
-            codes = codes.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
+            codes = (np.cumsum(met) - 1).astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)[ids]
             yield pa.RecordBatch.from_arrays([pa.array([upto], pa.int32()), pa.array([[w[0] for w in words]]), pa.array([[w[1] for w in words]], pa.list_(pa.binary())),
                                               pa.array([codes.tobytes()], pa.binary()), pa.array([codes.itemsize], pa.int32())], names=["upto", "langs", "words", "ids", "width"])
             ids = ids[upto - 1:]
@@ -226,12 +240,17 @@ _STRETCH = "upto int, langs array<string>, words array<binary>, ids binary, widt
 
 
 class Grower:
-    """Counts the phrases of stretches that extend chosen prefixes or are themselves asked for."""
+    """Counts the phrases of stretches that extend chosen prefixes or are themselves asked for.
 
-    def __init__(self, grow: Bits | None, parts: Bits | None, longest: int):
-        self.grow, self.parts, self.longest, self.seeds = grow, parts, longest, {}
+    `walk` holds the prefixes to extend and the beginnings of all that is asked for: no other phrase leads to one to be counted.
+    Left out, all phrases are looked at.
+    """
 
-    def count(self, upto: int, langs: list[str], words: list[bytes], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def __init__(self, grow: Bits | None, parts: Bits | None, longest: int, walk: Bits | None = None):
+        self.grow, self.parts, self.longest, self.walk, self.seeds = grow, parts, longest, walk, {}
+
+    def _chosen(self, upto: int, langs: list[str], words: list[bytes], ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+        """Words and their hashes, then where the phrases of m words start that are to be counted, and their hashes."""
         for lang in set(langs):
             self.seeds.setdefault(lang, xxhash.xxh64_intdigest(lang.encode()))
         hashes = np.array([xxhash.xxh64_intdigest(w, self.seeds[lang]) for lang, w in zip(langs, words)], np.uint64)
@@ -242,29 +261,45 @@ class Grower:
         for m in range(2, self.longest + 1):
             on = able[at + m - 1]
             at, h = at[on], h[on]
+            if self.walk is not None:
+                on = self.walk.holds(h)
+                at, h = at[on], h[on]
             if not len(at):
                 return
             grown = _holds(self.grow, h)
             h = _extend(h, word[at + m - 1])
             chosen = grown | _holds(self.parts, h)
             if chosen.any():
-                yield self._phrases(langs, words, ids, word, at[chosen], h[chosen], m)
+                yield ids, word, at[chosen], h[chosen], m
+
+    def tally(self, *stretch) -> Iterator[pa.RecordBatch]:
+        """How often each hash occurs: no phrase occurs more often than its hash."""
+        hashes = [h for _, _, _, h, _ in self._chosen(*stretch)]
+        if hashes:
+            h, a = np.unique(np.concatenate(hashes), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(a.astype(np.int64))], names=["h", "a"])
+
+    def count(self, upto: int, langs: list[str], words: list[bytes], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        told = pa.array(langs, pa.string()), pa.array(words, pa.binary())
+        for found in self._chosen(upto, langs, words, ids):
+            yield self._phrases(*told, *found)
 
     @staticmethod
-    def _phrases(langs: list[str], words: list[bytes], ids: np.ndarray, word: np.ndarray, at: np.ndarray, h: np.ndarray, m: int) -> pa.RecordBatch:
+    def _phrases(langs: pa.Array, words: pa.Array, ids: np.ndarray, word: np.ndarray, at: np.ndarray, h: np.ndarray, m: int) -> pa.RecordBatch:
         # numbers of words have 21 bits at most, as have those of the groups of three
         code = ids[at]
         for j in range(1, m):
             if j == 3:
                 code = np.unique(code, return_inverse=True)[1]
             code = (code << 21) | ids[at + j]
-        order = np.argsort(code, kind="stable")
+        order = np.argsort(code)
         code, at, h = code[order], at[order], h[order]
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
         before, after = ids[at - 1], ids[at + m]
         hash_before, hash_after = word[at - 1].view(np.int64), word[at + m].view(np.int64)
-        told = ids[at[first][:, None] + np.arange(m)].tolist()
-        return _rows([langs[row[0]] for row in told], m, [b" ".join([words[i] for i in row]) for row in told], h[first], np.diff(np.append(first, len(at))),
+        told = [ids[at[first] + j] for j in range(m)]
+        phrases = pc.binary_join_element_wise(*[words.take(pa.array(w)) for w in told], pa.scalar(b" "))
+        return _rows(langs.take(pa.array(told[0])), m, phrases, h[first], np.diff(np.append(first, len(at))),
                      np.add.reduceat((before == 0).astype(np.int64), first), np.minimum.reduceat(hash_before, first), np.maximum.reduceat(hash_before, first),
                      np.add.reduceat((after == 0).astype(np.int64), first), np.minimum.reduceat(hash_after, first), np.maximum.reduceat(hash_after, first))
 
@@ -292,22 +327,36 @@ def _encoded(texts: DataFrame, frequent: Bits | None, longest: int) -> DataFrame
     return out
 
 
-def _counted(stretches: DataFrame, least: int, longest: int, grow: Bits | None, parts: Bits | None) -> DataFrame:
-    """One pass over the stretches: the phrases asked for that occur often enough."""
-    sent = stretches.sparkSession.sparkContext.broadcast((grow, parts))  # two tables of MOST_BITS at most
+def _grown(stretches: DataFrame, longest: int, tables: Sequence[Bits | None], how: Callable, schema: str, done: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """One pass over the stretches with a method of Grower, written once."""
+    sent = stretches.sparkSession.sparkContext.broadcast(tables)  # three tables of MOST_BITS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grower = Grower(*sent.value, longest)
+        grow, parts, walk = sent.value
+        grower = Grower(grow, parts, longest, walk)
         for b in batches:
             for i in range(b.num_rows):
                 upto, langs, words, ids, width = (b.column(c)[i].as_py() for c in ("upto", "langs", "words", "ids", "width"))
-                yield from grower.count(upto, langs, words, np.frombuffer(ids, np.uint16 if width == 2 else np.uint32))
+                yield from how(grower, upto, langs, words, np.frombuffer(ids, np.uint16 if width == 2 else np.uint32))
 
-    out = stage(_summed(stretches.mapInArrow(run, _SPARK), least), "phrase-counts")
+    out = stage(done(stretches.mapInArrow(run, schema)), name)
     sent.destroy()
     return out
 
 
+def _counted(stretches: DataFrame, least: int, longest: int, grow: Bits | None, parts: Bits | None, walk: Bits | None, many: bool) -> DataFrame:
+    """The phrases asked for that occur often enough, written out with their words and neighbours and counted by their words.
+
+    Where there are many, most occur too rarely: then hashes and their counts alone are moved first, and only phrases whose hash
+    occurs often enough are written out.
+    """
+    if not many:
+        return _grown(stretches, longest, (grow, parts, walk), Grower.count, _SPARK, lambda rows: _summed(rows, least), "phrase-counts")
+    often = _grown(stretches, longest, (grow, parts, walk), Grower.tally, "h long, a long",
+                   lambda rows: rows.groupBy("h").agg(F.sum("a").alias("a")).where(F.col("a") >= least).select("h"), "phrase-hashes")
+    return _grown(stretches, longest, (None, Bits.of(often), walk), Grower.count, _SPARK, lambda rows: _summed(rows, least), "phrase-counts")
+
+
 #: floor(1000 * a * n / (l * r)) in whole decimals.
 _SCORE = ("(cast({a} AS decimal(17,0)) * cast({n} AS decimal(17,0)) * cast(1000 AS decimal(4,0)))"
           " div (cast({l} AS decimal(18,0)) * cast({r} AS decimal(18,0)))")
@@ -343,6 +392,7 @@ def mine(docs: DataFrame, longest: int = WORDS, least: int = LEAST, top: int = T
     first = stage(_summed(texts.mapInArrow(lambda batches: count_words(_texts(batches)), _SPARK), least), "phrase-words")
     totals = first.where("words = 0").select("lang", F.col("a").alias("n"))
     words = first.where((F.col("words") == 1) & (F.col("a") >= least))
+    all_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     known, grown = words, None
     stretches = _encoded(texts, Bits.of(words), longest)
     lead = words.select("lang", F.col("phrase").alias("lead"), F.col("a").alias("f"))
@@ -364,11 +414,16 @@ def mine(docs: DataFrame, longest: int = WORDS, least: int = LEAST, top: int = T
         if front.isEmpty() and lacking.isEmpty():
             break
         now = front.where((F.col("words") > 1) | (F.col("f") <= reach)).select("lang", "phrase")
-        now = stage(now.join(known.select("lang", "phrase", "h"), ["lang", "phrase"]), "phrase-now")
+        now = stage(now.join(known.select("lang", "phrase", "h", "a"), ["lang", "phrase"]), "phrase-now")
         extend, parts = Bits.of(now), Bits.of(lacking)
         if extend is None and parts is None:
             continue
-        more = _counted(stretches, least, longest, extend, parts)
+        begun = now.select("lang", "phrase", F.lit(0).alias("less")).unionByName(lacking.select("lang", "phrase", F.lit(1).alias("less")))
+        upto = F.size(F.split("phrase", " ")) - F.col("less")
+        begun = begun.where(upto > 0).select("lang", "phrase", F.explode(F.sequence(F.lit(1), upto)).alias("k")).select("lang", F.expr("substring_index(phrase, ' ', k)").alias("phrase"))
+        walk = Bits.of(stage(_hashed(begun.distinct()), "phrase-walk"))
+        starts = now.agg(F.coalesce(F.sum("a"), F.lit(0))).first()[0]
+        more = _counted(stretches, least, longest, extend, parts, walk, starts * MANY > all_words)
         known = stage(known.unionByName(more).dropDuplicates(["lang", "phrase"]), "phrase-known")
         now = now.select("lang", "phrase")
         grown = now if grown is None else grown.unionByName(now)
