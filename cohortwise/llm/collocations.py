@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortwise.llm.common import stage, utf8
+from cohortwise.llm.common import BATCH_ROWS, in_parts, small_batches, stage, utf8
 
 WORDS, LEAST, TOP = 5, 100, 2000
 #: Growth of the first words' counts from one pass to the next.
@@ -46,7 +46,9 @@ MANY = 8
 #: Least and most bits of a bit table, and bits for each entry as long as they suffice.
 LEAST_BITS, MOST_BITS, PER_ENTRY = 1 << 12, 1 << 27, 16
 #: Words that a task counts at once, words it remembers, and bytes of a text it splits at once.
-FLUSH, REMEMBERED, SLICE = 1 << 20, 1 << 20, 1 << 20
+FLUSH, REMEMBERED, SLICE = 1 << 18, 1 << 18, 1 << 20
+#: Stretches that are written or read at once: a row of them is up to a megabyte or two.
+STRETCHES = 8
 
 _SCHEMA = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("h", pa.int64()), ("a", pa.int64()),
                      ("starts", pa.int64()), ("before_low", pa.int64()), ("before_high", pa.int64()),
@@ -76,9 +78,9 @@ class _Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         number = 0
-        if self.frequent is not None and self.frequent.has(xxhash.xxh64_intdigest(word, self.seed)):
+        if self.frequent is not None and self.frequent.has(h := xxhash.xxh64_intdigest(word, self.seed)):
             number = len(self.all)
-            self.all.append((self.lang, word))
+            self.all.append((self.lang, word, h))
         self[word] = number
         return number
 
@@ -168,7 +170,7 @@ def count_words(texts: Iterator[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
             h = np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
             zero = np.zeros(len(n), np.int64)
             langs, words = pa.repeat(pa.scalar(lang, pa.string()), len(n)), pa.array(words, pa.binary())
-            yield _rows(langs[:-1], 1, words[:-1], h[:-1], n[:-1], *[zero[:-1]] * 6)
+            yield from in_parts(_rows(langs[:-1], 1, words[:-1], h[:-1], n[:-1], *[zero[:-1]] * 6))
             yield _rows(langs[-1:], 0, words[-1:], h[-1:], n[-1:], *[zero[-1:]] * 6)
         counts.clear()
 
@@ -193,7 +195,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.words, self.of_lang = [("", b".")], {}
+        self.words, self.of_lang = [("", b".", xxhash.xxh64_intdigest(b".", xxhash.xxh64_intdigest(b"")))], {}
 
     def add(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         if lang not in self.of_lang:
@@ -226,8 +228,10 @@ class Encoder:
             used = np.flatnonzero(met)
             words = [self.words[i] for i in used.tolist()]
             codes = (np.cumsum(met) - 1).astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)[ids]
+            hashes = np.fromiter((w[2] for w in words), np.uint64, len(words))
             yield pa.RecordBatch.from_arrays([pa.array([upto], pa.int32()), pa.array([[w[0] for w in words]]), pa.array([[w[1] for w in words]], pa.list_(pa.binary())),
-                                              pa.array([codes.tobytes()], pa.binary()), pa.array([codes.itemsize], pa.int32())], names=["upto", "langs", "words", "ids", "width"])
+                                              pa.array([codes.tobytes()], pa.binary()), pa.array([codes.itemsize], pa.int32()), pa.array([hashes.tobytes()], pa.binary())],
+                                             names=["upto", "langs", "words", "ids", "width", "hashes"])
             ids = ids[upto - 1:]
         if whole:
             ids = ids[-1:]
@@ -236,24 +240,26 @@ class Encoder:
         self.stream, self.held = [ids], len(ids)
 
 
-_STRETCH = "upto int, langs array<string>, words array<binary>, ids binary, width int"
+_STRETCH = "upto int, langs array<string>, words array<binary>, ids binary, width int, hashes binary"
 
 
 class Grower:
     """Counts the phrases of stretches that extend chosen prefixes or are themselves asked for.
 
     `walk` holds the prefixes to extend and the beginnings of all that is asked for: no other phrase leads to one to be counted.
-    Left out, all phrases are looked at.
+    Left out, all phrases are looked at. `hashes` of a stretch are those of its words; left out, they are computed.
     """
 
     def __init__(self, grow: Bits | None, parts: Bits | None, longest: int, walk: Bits | None = None):
         self.grow, self.parts, self.longest, self.walk, self.seeds = grow, parts, longest, walk, {}
 
-    def _chosen(self, upto: int, langs: list[str], words: list[bytes], ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+    def _chosen(self, upto: int, langs: Sequence[str], words: Sequence[bytes], ids: np.ndarray,
+                hashes: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
         """Words and their hashes, then where the phrases of m words start that are to be counted, and their hashes."""
-        for lang in set(langs):
-            self.seeds.setdefault(lang, xxhash.xxh64_intdigest(lang.encode()))
-        hashes = np.array([xxhash.xxh64_intdigest(w, self.seeds[lang]) for lang, w in zip(langs, words)], np.uint64)
+        if hashes is None:
+            for lang in set(langs):
+                self.seeds.setdefault(lang, xxhash.xxh64_intdigest(lang.encode()))
+            hashes = np.array([xxhash.xxh64_intdigest(w, self.seeds[lang]) for lang, w in zip(langs, words)], np.uint64)
         ids = np.concatenate([ids.astype(np.int64), np.zeros(self.longest + 1, np.int64)])
         able, word = ids != 0, hashes[ids]
         at = 1 + np.flatnonzero(able[1:upto])
@@ -277,12 +283,12 @@ class Grower:
         hashes = [h for _, _, _, h, _ in self._chosen(*stretch)]
         if hashes:
             h, a = np.unique(np.concatenate(hashes), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(a.astype(np.int64))], names=["h", "a"])
+            yield from in_parts(pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(a.astype(np.int64))], names=["h", "a"]))
 
-    def count(self, upto: int, langs: list[str], words: list[bytes], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def count(self, upto: int, langs: Sequence[str], words: Sequence[bytes], ids: np.ndarray, hashes: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         told = pa.array(langs, pa.string()), pa.array(words, pa.binary())
-        for found in self._chosen(upto, langs, words, ids):
-            yield self._phrases(*told, *found)
+        for found in self._chosen(upto, langs, words, ids, hashes):
+            yield from in_parts(self._phrases(*told, *found))
 
     @staticmethod
     def _phrases(langs: pa.Array, words: pa.Array, ids: np.ndarray, word: np.ndarray, at: np.ndarray, h: np.ndarray, m: int) -> pa.RecordBatch:
@@ -312,6 +318,11 @@ def _summed(rows: DataFrame, least: int) -> DataFrame:
     return sums.where((F.col("a") >= least) | (F.col("words") == 0))
 
 
+def _staged(df: DataFrame, name: str, rows: int = BATCH_ROWS, **options) -> DataFrame:
+    with small_batches(df.sparkSession, rows):
+        return stage(df, name, **options)
+
+
 def _encoded(texts: DataFrame, frequent: Bits | None, longest: int) -> DataFrame:
     """The texts as stretches, written once: what later passes read."""
     sent = texts.sparkSession.sparkContext.broadcast(frequent)  # a table of MOST_BITS at most
@@ -322,7 +333,7 @@ def _encoded(texts: DataFrame, frequent: Bits | None, longest: int) -> DataFrame
             yield from encoder.add(lang, text)
         yield from encoder.flush(True)
 
-    out = stage(texts.mapInArrow(run, _STRETCH), "phrase-stretches")
+    out = _staged(texts.mapInArrow(run, _STRETCH), "phrase-stretches", **{"parquet.block.row.count.limit": STRETCHES})
     sent.destroy()
     return out
 
@@ -336,10 +347,11 @@ def _grown(stretches: DataFrame, longest: int, tables: Sequence[Bits | None], ho
         grower = Grower(grow, parts, longest, walk)
         for b in batches:
             for i in range(b.num_rows):
-                upto, langs, words, ids, width = (b.column(c)[i].as_py() for c in ("upto", "langs", "words", "ids", "width"))
-                yield from how(grower, upto, langs, words, np.frombuffer(ids, np.uint16 if width == 2 else np.uint32))
+                upto, ids, width, hashes = (b.column(c)[i].as_py() for c in ("upto", "ids", "width", "hashes"))
+                langs, words = (b.column(c)[i].values for c in ("langs", "words"))
+                yield from how(grower, upto, langs, words, np.frombuffer(ids, np.uint16 if width == 2 else np.uint32), np.frombuffer(hashes, np.uint64))
 
-    out = stage(done(stretches.mapInArrow(run, schema)), name)
+    out = _staged(done(stretches.mapInArrow(run, schema)), name, STRETCHES)
     sent.destroy()
     return out
 
@@ -389,7 +401,7 @@ def _survives(longest: int) -> Column:
 def mine(docs: DataFrame, longest: int = WORDS, least: int = LEAST, top: int = TOP, step: int = STEP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's `top` best phrases."""
     texts = docs.select("lang", "text")
-    first = stage(_summed(texts.mapInArrow(lambda batches: count_words(_texts(batches)), _SPARK), least), "phrase-words")
+    first = _staged(_summed(texts.mapInArrow(lambda batches: count_words(_texts(batches)), _SPARK), least), "phrase-words")
     totals = first.where("words = 0").select("lang", F.col("a").alias("n"))
     words = first.where((F.col("words") == 1) & (F.col("a") >= least))
     all_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -410,7 +422,7 @@ def mine(docs: DataFrame, longest: int = WORDS, least: int = LEAST, top: int = T
         front = front.join(lead, ["lang", "lead"]).join(bar, "lang").where(_score("1", "n", "f", "1") >= F.col("bar"))
         front = stage(front.select("lang", "phrase", "words", "f"), "phrase-front")
         lacking = judged.where("NOT exact").join(bar, "lang").where("score >= bar").select("lang", F.explode("lacking").alias("phrase")).distinct()
-        lacking = stage(_hashed(lacking), "phrase-lacking")
+        lacking = _staged(_hashed(lacking), "phrase-lacking")
         if front.isEmpty() and lacking.isEmpty():
             break
         now = front.where((F.col("words") > 1) | (F.col("f") <= reach)).select("lang", "phrase")
@@ -421,7 +433,7 @@ def mine(docs: DataFrame, longest: int = WORDS, least: int = LEAST, top: int = T
         begun = now.select("lang", "phrase", F.lit(0).alias("less")).unionByName(lacking.select("lang", "phrase", F.lit(1).alias("less")))
         upto = F.size(F.split("phrase", " ")) - F.col("less")
         begun = begun.where(upto > 0).select("lang", "phrase", F.explode(F.sequence(F.lit(1), upto)).alias("k")).select("lang", F.expr("substring_index(phrase, ' ', k)").alias("phrase"))
-        walk = Bits.of(stage(_hashed(begun.distinct()), "phrase-walk"))
+        walk = Bits.of(_staged(_hashed(begun.distinct()), "phrase-walk"))
         starts = now.agg(F.coalesce(F.sum("a"), F.lit(0))).first()[0]
         more = _counted(stretches, least, longest, extend, parts, walk, starts * MANY > all_words)
         known = stage(known.unionByName(more).dropDuplicates(["lang", "phrase"]), "phrase-known")
