@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortwise.checks import cohort_views as views
+from cohortwise.checks.q_metrics import ALL_STAGED
 from cohortwise.operators import joins, select
 from cohortwise.plans import diagnoses, pathway
 from cohortwise.plans.cohort import ID, LISTS, Cohort
@@ -104,3 +105,11 @@ def test_views_of_shared_lines_have_the_same_rows(spark, small):
     for name in ["fx_scan", "fx_diagnostics", "fx_registry", "fx_rapid", "fx_pathway", "fx_invite"]:
         assert rows(shared.fx(name)) == rows(apart.fx(name)) != Counter()
     assert "Join" not in shared.fx("fx_scan")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_all_metrics_read_no_raw_table_for_its_newest_transaction(spark, small):
+    """The flags look at written records, so that none are made twice."""
+    c = views.cohort(spark, small, ALL_STAGED, views.KEEP_METRICS)
+    for base in ("checks", "scans", "diagnostics", "smoking", "invites", "measurements"):
+        used = getattr(c, base).inputFiles()
+        assert used and not [f for f in used if f.endswith(("lineitem.parquet", "orders.parquet"))]
