@@ -100,6 +100,26 @@ def test_diagnoses_written_by_person_are_those_of_the_lazy_plan(spark, small):
     assert rows(got, columns) == rows(lazy, columns) != Counter()
 
 
+def test_an_empty_registry_leaves_no_diagnoses(spark, small):
+    c = views.cohort(spark, small)
+    c.raw = {n: c.raw[n].filter("DatasetId < 0") if n == "registry" else c.raw[n] for n in ("registry", "rapid", "pathway")}
+    assert views.all_diagnoses(c, spark, views.KEEP_EVENTS["diagnoses"]).count() == 0
+
+
+def test_rows_are_added_to_buckets(spark):
+    stage = io.staged(spark)
+    first = stage(spark.range(300).selectExpr("CAST(id % 30 AS STRING) AS k", "id AS x"), "first", "k")
+    both = stage.append(first, spark.range(300, 350).selectExpr("id AS x", "CAST(id % 30 AS STRING) AS k"), "k")
+    assert sorted(r.x for r in both.collect()) == list(range(350))
+    io.keep_places(spark)
+    try:
+        got = both.groupBy("k").agg(F.count("*").alias("n"))
+        assert "Exchange" not in plan_of(got)
+        assert sum(r.n for r in got.collect()) == 350
+    finally:
+        io.forget_places(spark)
+
+
 def test_views_of_shared_lines_have_the_same_rows(spark, small):
     shared, apart = Source(spark, small, shared=True), Source(spark, small)
     for name in ["fx_scan", "fx_diagnostics", "fx_registry", "fx_rapid", "fx_pathway", "fx_invite"]:
